@@ -62,3 +62,37 @@ def word_count(col) -> Column:
 
 def text_of(col) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
+
+
+def pieces(batches, keys: int, size: int):
+    """Rows sorted by their first ``keys`` columns -> (key, record batch) with rows of one key, ``size`` rows or fewer.
+
+    A key with up to ``size`` rows comes whole, however the rows are spread over Arrow batches.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    held, held_key, rows = [], None, 0
+
+    def out():
+        return held_key, pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(keys)]
+        change = np.zeros(batch.num_rows - 1, bool)
+        for c in columns:
+            change |= c[1:] != c[:-1]
+        cuts = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+        for a, z in zip(cuts, cuts[1:]):
+            key = tuple(int(c[a]) for c in columns)
+            while a < z:
+                if held and (key != held_key or rows >= size):
+                    yield out()
+                    held, rows = [], 0
+                take = min(z - a, size - rows)
+                held.append(batch.slice(a, take))
+                held_key, rows, a = key, rows + take, a + take
+    if held:
+        yield out()
