@@ -36,9 +36,11 @@ GRAMS = (3, 4, 5, 6)
 SPREAD = 5
 #: Weight decay of the embeddings.
 DECAY = 0.01
+#: Weights are kept as half floats, this many times their size.
+SCALE = 1024
 #: Zero vectors in every mean, so that a few odd words decide nothing.
 PAD = 20
-PER_CLASS = 1500
+PER_CLASS = 1000
 EPOCHS = 7
 WINDOW = 128
 THRESHOLD = 0.7
@@ -75,16 +77,16 @@ def grams(tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of a text and their weights in the mean of its words' means."""
+    """Buckets of a text and SCALE times their weights in the mean of its words' means; four bytes a bucket."""
     tokens = tokens_of(text)
     if not tokens:
-        return np.zeros(0, np.int32), np.zeros(0, np.float32)
+        return np.zeros(0, np.uint16), np.zeros(0, np.float16)
     words, counts = np.unique(np.array(tokens, object), return_counts=True)
     where, bucket = grams(words.tolist())
     size = np.bincount(where, minlength=len(words))
     weights = np.bincount(bucket, (counts / np.maximum(size, 1))[where], BUCKETS)
     at = np.flatnonzero(weights)
-    return at.astype(np.int32), (weights[at] / (len(tokens) + PAD)).astype(np.float32)
+    return at.astype(np.uint16), (weights[at] / (len(tokens) + PAD) * SCALE).astype(np.float16)
 
 
 def sums(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
@@ -94,7 +96,7 @@ def sums(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
 
 def fit(bags: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, prior: float, seed: int = 7):
     """(u, bias): u holds each bucket's share in the log-odds of class 1. Embeddings and softmax are fitted jointly."""
-    if not len(bags) or toxic.min() == toxic.max():
+    if not len(bags) or toxic.min() == toxic.max() or not sum(len(x[0]) for x in bags):
         return None
     known = np.bincount(np.concatenate([x[0] for x in bags]), minlength=BUCKETS) >= SPREAD
     bags = [(at[known[at]], weight[known[at]]) for at, weight in bags]
@@ -108,10 +110,10 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, prior: flo
         rate = 0.5 * (1 - epoch / EPOCHS)
         order = rng.permutation(len(bags))
         for part in np.array_split(order, max(1, len(order) // 32)):
-            idx = np.concatenate([bags[k][0] for k in part])
+            idx = np.concatenate([bags[k][0] for k in part]).astype(np.int64)
             if not len(idx):
                 continue
-            val = np.concatenate([bags[k][1] for k in part]).astype(float) * scale
+            val = np.concatenate([bags[k][1] for k in part]).astype(float) * (scale / SCALE)
             doc = np.repeat(np.arange(len(part)), [len(bags[k][0]) for k in part])
             h = sums(doc, e[idx] * val[:, None], len(part))
             z = h @ w + b
@@ -194,7 +196,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
         for batch in batches:
             got = [bag(x.as_py()) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([x[0] for x in got], pa.list_(pa.int32())), pa.array([x[1] for x in got], pa.list_(pa.float32()))],
+                [batch.column(0), *(pa.array([x[c].tobytes() for x in got], pa.binary()) for c in (0, 1))],
                 names=["y", "at", "weight"],
             )
 
@@ -204,15 +206,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
         .dropDuplicates(["__id"])
         .select("__id", "__y", "__text")
         .select("__y", "__text")
-        .mapInArrow(bags, "y int, at array<int>, weight array<float>")
-        .toPandas()
+        .mapInArrow(bags, "y int, at binary, weight binary")
+        .collect()
     )
-    if not len(rows):
-        return None
-    # the order of rows must not depend on the run
-    rows = rows.assign(k=[(len(a), float(sum(w[:4])), *a[:3]) for a, w in zip(rows["at"], rows["weight"])]).sort_values("k")
+    rows.sort(key=lambda r: (r["y"], bytes(r["at"]), bytes(r["weight"])))  # the order must not depend on the run
     prior = counts[1] / (counts[0] + counts[1])
-    return fit([(np.asarray(a, np.int64), np.asarray(w)) for a, w in zip(rows["at"], rows["weight"])], rows["y"].to_numpy(), prior)
+    bags_ = [(np.frombuffer(r["at"], np.uint16), np.frombuffer(r["weight"], np.float16)) for r in rows]
+    return fit(bags_, np.array([r["y"] for r in rows], np.int64), prior)
 
 
 def score(docs: DataFrame, model, id_col="doc_id", text_col="text") -> DataFrame:
