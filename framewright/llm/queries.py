@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, ego_join, mixing, packing, pii, simhash, token_counts, topk_impact, toxicity
+from . import chat, ego_join, kn_quality, mixing, packing, pii, simhash, token_counts, topk_impact, toxicity
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_mixing": mixing.op3_mixing,
     "op4_token_counts": token_counts.op4_token_counts,
     "op5_simhash": simhash.op5_simhash,
+    "op6_quality": kn_quality.op6_quality,
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_ego_join": ego_join.op8_ego_join,
     "op9_topk": topk_impact.op9_topk,
