@@ -89,11 +89,12 @@ def targets(sized: DataFrame, weights=(3, 1, 2)) -> DataFrame:
     )
 
 
-def plan(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source", weights=(3, 1, 2)) -> DataFrame:
+def plan(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source", weights=(3, 1, 2), keep=()) -> DataFrame:
     """(doc_id, key, source, size, source_size, target, base, extra, blocks, start, at, taken), a row a document.
 
     ``at`` is the document's first word on its shard's tape; ``base``, ``extra``, ``blocks`` and ``start`` say how
-    often the shard's blocks are taken. ``key`` names the document's row: id, or its text's digest without one.
+    often the shard's blocks are taken. ``key`` orders the document: id, or its text's digest without one. Columns named
+    in ``keep`` come along.
     """
     sized = written(
         docs.select(
@@ -101,13 +102,14 @@ def plan(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source",
             F.coalesce(F.col(id_col).cast("string"), F.md5(F.coalesce(F.col(text_col), F.lit("")))).alias("key"),
             F.col(source_col).alias("source"),
             word_count(F.col(text_col)).alias("size"),
+            *keep,
         ),
         "sizes",
     )
     sources = written(sainte_lague(targets(sized, weights), ["one"], "no", "target", "seats"), "sources")
     placed = (
         sized.join(sources, sized.source.eqNullSafe(sources.source))
-        .select("doc_id", "key", sized.source, "size", "source_size", "target", "no", F.col("quota").alias("source_quota"), "shards")
+        .select("doc_id", "key", sized.source, "size", "source_size", "target", "no", F.col("quota").alias("source_quota"), "shards", *keep)
         .withColumn("draw", _draw(F.col("key")))
         .withColumn("shard", F.pmod("draw", "shards"))
     )
@@ -130,14 +132,15 @@ def plan(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source",
     got = worded.join(quotas, ["no", "shard"]).withColumn(
         "taken", F.col("base") * F.col("size") + _extra_before(F.col("at") + F.col("size")) - _extra_before(F.col("at"))
     )
-    names = ["doc_id", "key", "source", "size", "source_size", "target", "base", "extra", "blocks", "start", "at", "taken"]
+    names = ["doc_id", "key", "source", "size", "source_size", "target", "base", "extra", "blocks", "start", "at", "taken", *keep]
     none = placed.where("size = 0").select(*[F.col(x) if x in placed.columns else F.lit(0).cast("long").alias(x) for x in names])
     return got.select(*names).unionByName(none)
 
 
-def _chosen_before(block: Column) -> Column:
+def _chosen_before(block: Column, start="start", extra="extra", blocks="blocks") -> Column:
     """How many of the blocks before this one are taken once more."""
-    return F.floor((block + F.col("start")) * F.col("extra") / F.col("blocks")) - F.floor(F.col("start") * F.col("extra") / F.col("blocks"))
+    s, e, n = (F.col(c) if isinstance(c, str) else c for c in (start, extra, blocks))
+    return F.floor((block + s) * e / n) - F.floor(s * e / n)
 
 
 def _extra_before(word: Column) -> Column:
@@ -149,33 +152,31 @@ def _extra_before(word: Column) -> Column:
 def mix(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source") -> DataFrame:
     """The mix itself, with the columns of ``docs``: a row for each whole pass over a document, and one with the words
     of its blocks that are taken once more, white space between them kept. Documents of which nothing is taken go."""
-    found = plan(docs, id_col, text_col, source_col).where("taken > 0").select(
-        F.col("key").alias("__key"), F.col("size").alias("__size"), "base", "extra", "blocks", "start", "at", "taken"
+    # rows are numbered in a written table, so that each meets its own part of the plan, whatever its id
+    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    words_of = ["size", "base", "extra", "blocks", "start", "at", "taken"]
+    found = plan(rows, id_col, text_col, source_col, keep=("__row",)).where("taken > 0").select(
+        "__row", F.struct(*words_of).alias("__plan")
     )
-    named = docs.withColumn("__key", F.coalesce(F.col(id_col).cast("string"), F.md5(F.coalesce(F.col(text_col), F.lit("")))))
-    # rows with one key are paired in order of text; equal rows may pair either way
-    nth = Window.partitionBy("__key")
-    named = named.withColumn("__size", word_count(F.col(text_col))).withColumn("__nth", F.row_number().over(nth.orderBy("__size")))
-    found = found.withColumn("__nth", F.row_number().over(nth.orderBy("__size", "at")))
-    rows = named.join(found, ["__key", "__size", "__nth"])
-    first = F.expr(f"at div {BLOCK}")
-    last = F.expr(f"(at + __size - 1) div {BLOCK}")
+    p = {c: F.col(f"__plan.{c}") for c in words_of}
+    chosen = lambda b: _chosen_before(b, p["start"], p["extra"], p["blocks"])
+    a, z = F.floor(p["at"] / BLOCK), F.floor((p["at"] + p["size"] - 1) / BLOCK)
     pieces = F.transform(
-        F.filter(F.sequence(first, last), lambda b: _chosen_before(b + 1) > _chosen_before(b)),
+        F.filter(F.sequence(a, z), lambda b: chosen(b + 1) > chosen(b)),
         lambda b: F.struct(
-            F.greatest(b * BLOCK - F.col("at"), F.lit(0)).alias("a"),
-            F.least((b + 1) * BLOCK - F.col("at"), F.col("__size")).alias("z"),
+            F.greatest(b * BLOCK - p["at"], F.lit(0)).alias("a"), F.least((b + 1) * BLOCK - p["at"], p["size"]).alias("z")
         ),
     )
-    whole = F.col("taken") - F.col("base") * F.col("__size") == F.col("__size")
+    more = p["taken"] - p["base"] * p["size"]
     words = F.regexp_extract_all(F.col(text_col), F.lit(rf"{WORD}[\x20\x09-\x0D]*"), F.lit(0))
-    some = F.concat_ws(
-        "", F.flatten(F.transform(F.col("__pieces"), lambda p: F.slice(F.col("__words"), (p["a"] + 1).cast("int"), (p["z"] - p["a"]).cast("int"))))
+    some = F.array_join(
+        F.flatten(F.transform("__pieces", lambda x: F.slice(F.col("__words"), (x["a"] + 1).cast("int"), (x["z"] - x["a"]).cast("int")))), ""
     )
-    passes = F.expr("sequence(1, cast(base + if(taken > base * __size, 1, 0) as int))")
+    passes = F.sequence(F.lit(1).cast("long"), p["base"] + F.when(more > 0, 1).otherwise(0))
     out = (
-        rows.withColumn("__pass", F.explode(passes))
-        .withColumn("__part", (F.col("__pass") > F.col("base")) & ~whole)
+        rows.join(found, "__row")
+        .withColumn("__pass", F.explode(passes))
+        .withColumn("__part", (F.col("__pass") > p["base"]) & (more < p["size"]))
         .withColumn("__pieces", F.when(F.col("__part"), pieces))
         .withColumn("__words", F.when(F.col("__part"), words))
         .withColumn(text_col, F.when(F.col("__part"), some).otherwise(F.col(text_col)))
