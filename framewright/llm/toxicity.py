@@ -2,7 +2,7 @@
 
 A word's vector is the mean of its hashed character n-gram vectors (and its own), a passage's vector the mean of
 its words' vectors; a two-class softmax stands on that. Vectors and softmax are fitted together by AdaGrad on a
-bounded, documented sample of labelled rows (``PER_CLASS`` of each class, by a hash of the id). Misspellings that
+bounded, documented sample of labelled rows (``PER_CLASS``, by a hash of the id). Misspellings that
 were never seen share n-gram vectors with words that were.
 
 The fitted model is linear in the words, so a word needs one number, kept in a bounded table in each task. Every
@@ -40,7 +40,8 @@ DECAY = 0.01
 SCALE = 1024
 #: Zero vectors in every mean, so that a few odd words decide nothing.
 PAD = 20
-PER_CLASS = 1000
+#: The training sample's bound: rows of class 0 and of class 1.
+PER_CLASS = (2000, 1000)
 EPOCHS = 7
 WINDOW = 128
 THRESHOLD = 0.7
@@ -179,7 +180,7 @@ def held_out(id_col: str):
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", label_col="toxic", per_class=PER_CLASS):
-    """The model from at most ``per_class`` labelled, not held out rows of each class: the smallest hashes of ids."""
+    """The model from at most ``per_class[y]`` labelled, not held out rows of class y: the smallest hashes of ids."""
     known = (
         labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1) & ~held_out(id_col))
         .groupBy(F.col(id_col).cast("long").alias("__id"))
@@ -188,8 +189,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
     counts = {r["__y"]: r["count"] for r in known.groupBy("__y").count().collect()}
     if len(counts) < 2:
         return None
-    picked = [known.where(F.col("__y") == y).orderBy(F.xxhash64("__id"), "__id").limit(per_class) for y in (0, 1)]
-    ids = [tuple(r) for r in picked[0].unionByName(picked[1]).collect()]  # 2 * per_class rows at most
+    picked = [known.where(F.col("__y") == y).orderBy(F.xxhash64("__id"), "__id").limit(per_class[y]) for y in (0, 1)]
+    ids = [tuple(r) for r in picked[0].unionByName(picked[1]).collect()]  # sum(per_class) rows at most
     few = docs.sparkSession.createDataFrame(ids, "__id long, __y int")
 
     def bags(batches):
