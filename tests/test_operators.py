@@ -194,3 +194,18 @@ def test_time_range(spark):
     assert n() == 4 and n(begin_time="00:00:10") == 3 and n(end_time="00:00:20") == 3 and n(begin_time="00:00:10", end_time="00:00:20") == 2
 
 
+
+
+def test_extraction_boundary(spark):
+    def run(path, chain):
+        if path == "bad":
+            raise OSError
+        log = "x\n[Parsed_showinfo_2 @ 1] pts_time:0.5 a\n[Parsed_showinfo_2 @ 1] pts_time:2 b"
+        return ([] if path == "none" else ["frame_000002.png", "frame_000001.png", "frame_000003.png"]), log
+
+    rows = [("LR", p, p, "c") for p in ("good", "bad", "none")]
+    got = extract.extracted(spark.createDataFrame(rows, "side string, video string, path string, chain string"), run).collect()
+    assert {(r["video"], r["frame_name"], r["ts"], r["status"]) for r in got} == {
+        ("good", "frame_000001.png", 0.5, "ok"), ("good", "frame_000002.png", 2.0, "ok"), ("good", "frame_000003.png", 2.0, "ok"),
+        ("bad", None, None, "failed: OSError"), ("none", None, None, "no frames or times"),
+    }
