@@ -21,7 +21,7 @@ def batches(images: DataFrame, video="video", name="name", p: Params = Params())
     )
 
 
-def command(lr: str, hr: str, out: str, tool: str = "imgalign", p: Params = Params()) -> list[str]:
+def command(tool: str, lr: str, hr: str, out: str, p: Params = Params()) -> list[str]:
     """The aligner's arguments."""
     args = [tool, "-s", str(p.align_scale), "-m", "0", "-g", hr, "-l", lr, "-c", "-j", "-ai", "-o", out]
     return args + (["-i", "1"] if p.align_color_copy else [])

@@ -170,7 +170,7 @@ def test_align(spark):
     names = lambda *x: spark.createDataFrame([(n,) for n in x], "name string")
     got = batching.collect_results(names("p.png", "q.png"), names("q.png", ""), names("p.png"), names("q.png")).collect()
     assert [tuple(r) for r in got] == [("p.png", True, False)]
-    assert batching.command("l", "h", "o", p=Params(align_color_copy=True))[-2:] == ["-i", "1"]
+    assert batching.command("tool", "l", "h", "o", Params(align_color_copy=True))[-2:] == ["-i", "1"]
     ok, last = batching.supervised([sys.executable, "-c", "print('a.png'); print('done')"], 30)
     assert ok and last == ["a.png", "done"]
     assert not batching.supervised([sys.executable, "-c", "import time; time.sleep(9)"], 0.5)[0]
