@@ -164,7 +164,8 @@ def quality(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text"
         .select("__id")
     )
     own = docs.select(F.col(id_col).cast("long").alias("__id"), text_of(text_col).alias("text"))
-    logp = train(own.join(trusted, "__id", "left_semi"))
+    # always by shuffle: whether the ids are small enough to be sent whole depends on the corpus
+    logp = train(own.join(trusted.hint("shuffle_hash"), "__id", "left_semi"))
     scored = written(perplexities(docs.withColumn("lang", F.col(lang_col)), logp, id_col, text_col, ("lang",)), "perplexities")
     limits = thresholds(scored.join(trusted, scored.doc_id == trusted["__id"], "left_semi"), quantile)
     by_lang = limits.where("NOT is_all").select(F.col("lang").alias("l"), "limit")
