@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 PART = 64
 FULL = 1024
 
@@ -36,12 +38,13 @@ def rotate(turns: DataFrame, conv_col="conv_id", turn_col="turn", speaker_col="r
     ).withColumn("part", F.coalesce(F.floor(F.col("turn") / PART), F.lit(-1)).cast("long"))
     # a null conv_id is a key like any other: joins go by (is null, value)
     said = said.withColumn("none", F.col("conv_id").isNull()).withColumn("conv", F.coalesce(F.col("conv_id").cast("string"), F.lit("")))
-    full = (
+    # written, so that Spark knows its size (mostly nothing) and need not move the texts for this join
+    full = written(
         said.groupBy("none", "conv", "part")
         .agg(F.count(F.lit(1)).alias("rows"))
         .where(F.col("rows") > FULL)
-        .withColumn("cuts", F.ceil(F.col("rows") / PART))
-        .drop("rows")
+        .select("none", "conv", "part", F.ceil(F.col("rows") / PART).alias("cuts")),
+        "full-parts",
     )
     cut = said.join(full, ["none", "conv", "part"], "left").withColumn(
         "sub", F.when(F.col("cuts").isNull(), 0).otherwise(F.pmod(F.xxhash64("turn", "speaker", "content"), F.col("cuts"))).cast("long")
