@@ -7,11 +7,14 @@ batches. External tools (probe, extraction, alignment) are functions that the ca
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import pixels as X
 from ..functions import text as T
+from ..functions.pixels import array_of, crop
 from ..operators import batching, clean, dedup, match
 from ..params import Params
 
@@ -31,9 +34,6 @@ def content_fix(frames: DataFrame, p: Params = Params()) -> DataFrame:
         *keys, clean.contest("s.hr_in_lr", "s.lr_in_hr", p).alias("winner"), F.col("s.hr_box").alias("hr_box"), F.col("s.lr_box").alias("lr_box")
     ).where("winner != 'none'")
 
-    import numpy as np
-    import pandas as pd
-
     @F.pandas_udf("data binary, height int, width int")
     def cut(data: pd.Series, h: pd.Series, w: pd.Series, c: pd.Series, box: pd.Series) -> pd.DataFrame:
         rows = []
@@ -41,7 +41,7 @@ def content_fix(frames: DataFrame, p: Params = Params()) -> DataFrame:
             if d is None or x is None:
                 rows.append((d, a, b))
                 continue
-            y = X.crop(X.array_of(bytes(d), int(a), int(b), int(k)), (x[0], x[1], x[0] + x[2], x[1] + x[3]))
+            y = crop(array_of(bytes(d), int(a), int(b), int(k)), (x[0], x[1], x[0] + x[2], x[1] + x[3]))
             rows.append((np.ascontiguousarray(y).tobytes(), y.shape[0], y.shape[1]))
         return pd.DataFrame(rows, columns=["data", "height", "width"]).astype({"height": "Int32", "width": "Int32"})
 

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 
+#: The image endings in any case, as a glob.
+IMAGE_GLOB = "*.{[pP][nN][gG],[jJ][pP][gG],[jJ][pP][eE][gG]}"
 METADATA = "duration double, timestamps map<string,double>, _bad string"
 
 
@@ -34,7 +36,8 @@ def frames(spark: SparkSession, folder: str, side: str) -> DataFrame:
 
 def images(spark: SparkSession, folder: str, drop_invalid: bool = False) -> DataFrame:
     """(path, name, height, width, channels, data) in BGR bytes; unreadable files have null data, or are dropped."""
-    rows = spark.read.format("image").option("recursiveFileLookup", "true").option("dropInvalid", str(drop_invalid).lower()).load(folder)
+    reader = spark.read.format("image").option("recursiveFileLookup", "true").option("pathGlobFilter", IMAGE_GLOB)
+    rows = reader.option("dropInvalid", str(drop_invalid).lower()).load(folder)
     i = F.col("image")
     good = i["height"] > 0
     return rows.select(

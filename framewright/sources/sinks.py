@@ -6,6 +6,7 @@ import struct
 import zlib
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,8 +26,6 @@ def png(bgr: np.ndarray) -> bytes:
 
 def encoded(images: DataFrame) -> DataFrame:
     """images(name, height, width, channels, data) -> (name, png)."""
-    import pandas as pd
-
     @F.pandas_udf("binary")
     def encode(data: pd.Series, h: pd.Series, w: pd.Series, c: pd.Series) -> pd.Series:
         return pd.Series([None if d is None else png(np.frombuffer(bytes(d), np.uint8).reshape(int(a), int(b), int(k))) for d, a, b, k in zip(data, h, w, c)])
