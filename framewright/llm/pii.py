@@ -31,6 +31,8 @@ from .common import text_of
 
 KINDS = ("email", "ip", "card", "phone")
 LENGTH, STRIDE, HIDDEN, STEPS, BATCH = 128, 64, 12, 240, 48
+#: Length of a training example.
+LEARN = 64
 #: Fixed alphabet: padding, digit, upper case, white space, other, then these by themselves.
 OWN = "abcdefghijklmnopqrstuvwxyz@.+-()[]:/_,%\"=#"
 SYMBOLS = 5 + len(OWN)
@@ -90,8 +92,8 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 # ---- labelled examples ---------------------------------------------------------------------------------------------
 
 
-def examples(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """(characters as symbols, tags), n x LENGTH: carrier text with labelled spans and look-alikes."""
+def examples(n: int, seed: int, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """(characters as symbols, tags), n x length: carrier text with labelled spans and look-alikes."""
     rng = np.random.default_rng(seed)
     pick = lambda *x: x[rng.integers(len(x))]
     num = lambda k: "".join(map(str, rng.integers(0, 10, k)))
@@ -110,11 +112,11 @@ def examples(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
         "phone": lambda: pick("+1 ({a}) {b}-{c}", "({a}) {b}-{c}", "+{d} {a} {b} {c}", "{a}-{b}-{c}", "{a}.{b}.{c}", "00{d} {a} {b}{c}", "+{d}{a}{b}{c}", "+{d}-{a}-{b}-{c}").format(a=num(3), b=num(3), c=num(4), d=rng.integers(1, 99)),
         None: lambda: pick(num(rng.integers(1, 9)), hashlib.md5(num(5).encode()).hexdigest(), "v" + ".".join([num(1)] * 3), f"20{num(2)}-0{num(1)}-1{num(1)}", f"{num(2)}:{num(2)}", f"{num(3)}.{num(2)}", "@" + word(), 'token = "' + hashlib.sha1(num(6).encode()).hexdigest() + '"', "#" + num(4), f"{num(1)}. {num(2)}, {num(2)}"),
     }
-    xs, ys = np.zeros((n, LENGTH), np.int64), np.zeros((n, LENGTH), np.int64)
+    xs, ys = np.zeros((n, length), np.int64), np.zeros((n, length), np.int64)
     for row in range(n):
         text, tags = "", []
         junk = pick("", "", "", "%%%", "!!", " |")
-        while len(text) < LENGTH + 40:
+        while len(text) < length + 40:
             kind = pick(None, "", "", "", *KINDS) if rng.random() < 0.35 else ""
             if kind == "":
                 bit, own = word() + pick("", "", "", ",", ".") + junk, None
@@ -127,10 +129,10 @@ def examples(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
             gap = (junk if own and rng.random() < 0.3 else "") + pick(" ", " ", " ", "\n")
             text, tags = text + gap, tags + [0] * len(gap)
         a = rng.integers(0, 40)
-        cut = np.array(tags[a : a + LENGTH])
+        cut = np.array(tags[a : a + length])
         if cut[0] and not cut[0] % 2:
             cut[0] -= 1  # a cut span begins at the window's edge
-        xs[row], ys[row] = symbols(text[a : a + LENGTH]), cut
+        xs[row], ys[row] = symbols(text[a : a + length]), cut
     return xs, ys
 
 
@@ -245,12 +247,12 @@ def trained(seed: int = 11, steps: int = STEPS) -> dict:
     }
     p["wx"][:, :, HIDDEN : 2 * HIDDEN] += 1.0  # remember at first
     m, v = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2))
-    xs, ys = examples(1600, seed)
+    xs, ys = examples(2400, seed, LEARN)
     for step in range(1, steps + 1):
         rows = rng.integers(0, len(xs), BATCH)
         e, cache = _run(p, xs[rows], True)
         de, dt = _crf(e, p["trans"] + _allowed(), ys[rows])
-        g = _backward(p, cache, de / LENGTH * 8) | {"trans": dt / LENGTH * 8}
+        g = _backward(p, cache, de / LEARN * 8) | {"trans": dt / LEARN * 8}
         rate = 0.02 * min(1, 2 * (1 - step / (steps + 1)))
         for k in p:
             m[k] = 0.9 * m[k] + 0.1 * g[k]
