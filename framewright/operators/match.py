@@ -20,6 +20,8 @@ def window_of(duration: Column, p: Params = Params()) -> Column:
 def interval_join(lr: DataFrame, hr: DataFrame) -> DataFrame:
     """lr(video, lr_frame, lr_ts, w, ...) with every hr(video, hr_frame, hr_ts, ...) at most w away, ends included.
 
+    ``w`` is the same in all rows of a video, as it comes from the video's duration.
+
     Time is cut into buckets as wide as the video's window; an lr row goes to its own and the two neighbouring
     buckets, an hr row to its own, so the join is an equi-join on (video, bucket) with a range left over. That spreads
     one long video over many tasks, which a join on the video alone would not.
@@ -29,7 +31,7 @@ def interval_join(lr: DataFrame, hr: DataFrame) -> DataFrame:
     exact = lambda ts: F.when(F.col("__w") > 0, F.lit(None).cast("double")).otherwise(ts)
     left = (
         lr.where("lr_ts IS NOT NULL")
-        .withColumn("__w", F.max("w").over(Window.partitionBy("video")))
+        .withColumn("__w", F.col("w"))
         .withColumn("__b", F.explode(F.when(F.col("__w") > 0, F.sequence(bucket(F.col("lr_ts")) - 1, bucket(F.col("lr_ts")) + 1)).otherwise(F.array(F.lit(0).cast("long")))))
         .withColumn("__x", exact(F.col("lr_ts")))
     )

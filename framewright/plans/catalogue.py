@@ -53,9 +53,8 @@ def sides(spark, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 def pixels(spark, sf_dir: str, df: DataFrame, name: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias(name))
-    n = e.agg(F.count(F.lit(1)).alias("n"))
-    keyed = df.join(F.broadcast(n)).withColumn("vec_id", F.col("event_id") % F.col("n")).drop("n")  # one row
-    return keyed.join(e, "vec_id").drop("vec_id")
+    n = max(1, e.count())  # from the files' footers
+    return df.withColumn("vec_id", F.col("event_id") % n).join(e, "vec_id").drop("vec_id")
 
 
 _FRAMES = """
