@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framewright.llm import mixing, packing, pii, simhash, toxicity
+from framewright.llm import mixing, near_copies, packing, pii, toxicity
 from framewright.llm.common import written
 
 
@@ -19,8 +19,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component stays."""
-    return simhash.keep_first(docs)
+    """One document of each group of near copies stays: 5-word shingles, Jaccard similarity of 0.8 or more."""
+    return near_copies.keep_one(docs)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
