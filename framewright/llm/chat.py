@@ -5,8 +5,9 @@ named users; system turns stay system turns. Only the assistant's own words and
 lists their character spans in the rendered text.
 
 A dialogue is rendered in parts of ``PART`` turn numbers (turn div PART), so that no row and no task holds a whole
-dialogue of unbounded length; common dialogues have one part. A part with more than ``FULL`` rows, which only
-repeated turn numbers can bring about, is cut further by a hash of the words.
+dialogue of unbounded length; common dialogues have one part. A part with more than ``FULL`` different rows, which only
+repeated turn numbers can bring about, is cut into ranges (``sub``) of ``PART`` rows in order: parts and subs joined in
+order are the whole dialogue.
 
 Nulls and edge cases: order is by turn (null first), then speaker, then text; rows that repeat all three are said
 once; a null role is the speaker 'unknown'; a null text is empty; rows with a null conv_id are one dialogue; a
@@ -16,7 +17,7 @@ inside a text are broken up ("<|" becomes "< |"), so that no text can forge a tu
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
@@ -25,6 +26,25 @@ PART = 64
 FULL = 1024
 
 
+def _ranges(said: DataFrame, key: list[str]) -> DataFrame:
+    """The different rows of overfull parts with ``sub``: ranges of ``PART`` rows in order, where there are over ``FULL``.
+
+    Positions are counted by ranges that may divide a part, so no task holds a part.
+    """
+    words = ["turn", "speaker", "content"]
+    ranged = written(said.distinct().repartitionByRange(*key, *words).withColumn("range", F.spark_partition_id()), "ranges")
+    part = Window.partitionBy(*key)
+    counts = (
+        ranged.groupBy(*key, "range")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("before", F.sum("n").over(part.orderBy("range")) - F.col("n"))
+        .withColumn("total", F.sum("n").over(part))
+    )
+    at = F.col("before") + F.row_number().over(Window.partitionBy(*key, "range").orderBy(*words)) - 1
+    sub = F.when(F.col("total") > FULL, F.floor(at / PART)).otherwise(0).cast("long")
+    return ranged.join(counts.drop("n"), [*key, "range"]).withColumn("sub", sub).drop("range", "before", "total")
+
+
 def rotate(turns: DataFrame, conv_col="conv_id", turn_col="turn", speaker_col="role", text_col="text", system=("system",)) -> DataFrame:
     """(conv_id, perspective, part, sub, messages, rendered, mask), a row for each participant and part.
 
@@ -38,19 +58,16 @@ def rotate(turns: DataFrame, conv_col="conv_id", turn_col="turn", speaker_col="r
     ).withColumn("part", F.coalesce(F.floor(F.col("turn") / PART), F.lit(-1)).cast("long"))
     # a null conv_id is a key like any other: joins go by (is null, value)
     said = said.withColumn("none", F.col("conv_id").isNull()).withColumn("conv", F.coalesce(F.col("conv_id").cast("string"), F.lit("")))
+    said = said.withColumn("turn", F.coalesce("turn", F.lit(-(1 << 62))))
     # written, so that Spark knows its size (mostly nothing) and need not move the texts for this join
     full = written(
-        said.groupBy("none", "conv", "part")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .where(F.col("rows") > FULL)
-        .select("none", "conv", "part", F.ceil(F.col("rows") / PART).alias("cuts")),
+        said.groupBy("none", "conv", "part").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > FULL).select("none", "conv", "part"),
         "full-parts",
     )
-    cut = said.join(full, ["none", "conv", "part"], "left").withColumn(
-        "sub", F.when(F.col("cuts").isNull(), 0).otherwise(F.pmod(F.xxhash64("turn", "speaker", "content"), F.col("cuts"))).cast("long")
-    )
+    key = ["none", "conv", "part"]
+    cut = said.join(full, key, "left_anti").withColumn("sub", F.lit(0).cast("long")).unionByName(_ranges(said.join(full, key), key))
     parts = cut.groupBy("none", "conv", "conv_id", "part", "sub").agg(
-        F.sort_array(F.collect_set(F.struct(F.coalesce("turn", F.lit(-(1 << 62))).alias("turn"), "speaker", "content"))).alias("turns")
+        F.sort_array(F.collect_set(F.struct("turn", "speaker", "content"))).alias("turns")
     )
     speakers = said.where(~F.col("speaker").isin(*system)).select("none", "conv", F.col("speaker").alias("perspective")).distinct()
     role = lambda t: (

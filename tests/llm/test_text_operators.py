@@ -245,6 +245,18 @@ def test_chat_rotation_and_edges(spark):
     assert chat.rotate(df.limit(0)).count() == 0
 
 
+def test_chat_overfull_parts_are_ranges_in_order(spark):
+    rows = [(c, t, "ann" if k % 3 else "bob", f"{k % n}") for c, t, n in ((7, 0, 1025), (None, None, 3000), (8, 0, 1024)) for k in range(n + 40)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(7)
+    got = chat.rotate(df).where("perspective = 'ann'").collect()
+    for conv in (7, None, 8):
+        own = sorted((r for r in got if r["conv_id"] == conv), key=lambda r: (r["part"], r["sub"]))
+        want = sorted({(r[2], r[3]) for r in rows if r[0] == conv})
+        said = [(m["name"] or "ann", m["content"]) for r in own for m in r["messages"]]
+        assert said == want
+        assert [r["sub"] for r in own] == list(range(-(-len(want) // chat.PART) if len(want) > chat.FULL else 1))
+
+
 # ---- op3
 
 
