@@ -66,3 +66,14 @@ def test_frequencies_do_not_change_links(spark, monkeypatch):
     monkeypatch.setattr(near_copies, "COMMON", 7)
     monkeypatch.setattr(near_copies, "COUNTED", 500)
     assert sorted(r["doc_id"] for r in near_copies.keep_one(df).collect()) == sorted(set(plain_groups(texts)))
+
+
+def test_repeated_and_null_ids_are_rows_of_their_own(spark):
+    base = [f"w{k}" for k in range(100)]
+    edit = lambda *at: " ".join("x" if k in at else w for k, w in enumerate(base))
+    rows = [(3, edit()), (3, edit()), (None, edit()), (9, edit()), (None, "lone text"), (5, "other"), (5, "other")]
+    rows += [(20, " ".join(base[:80])), (None, " ".join(base[:90])), (21, " ".join(base))]  # 90 words link 80 and 100
+    got = near_copies.keep_one(frame(spark, rows)).collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"]) for r in got) == [
+        (False, 3, edit()), (False, 5, "other"), (True, 0, "lone text")
+    ]
