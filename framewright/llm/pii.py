@@ -337,7 +337,7 @@ def plausible(kind: str, s: str) -> bool:
         return bool(re.fullmatch(r"[0-9]{1,3}(( ?\. ?|\[\.\])[0-9]{1,3}){3}", s)) and all(map(_octet, re.findall("[0-9]+", s)))
     if kind == "card":
         return 13 <= len(digits) <= 19 and luhn(digits) and bool(re.fullmatch(r"[0-9][0-9 .-]*[0-9]", s)) and len(set(digits)) > 2
-    return 9 <= len(digits) <= 15 and bool(re.fullmatch(r"(\+|00|\()?[0-9][0-9 ().-]*[0-9]", s)) and bool(re.search(r"[ ().+-]", s)) and not _DATE.fullmatch(s) and not re.search(r"[0-9]{8,}", s[1:])
+    return 9 <= len(digits) <= 15 and bool(re.fullmatch(r"(\+|00|\()?[0-9][0-9 ().-]*[0-9]", s)) and bool(re.search(r"[ ().+-]", s)) and not _DATE.fullmatch(s) and (s[0] in "0(" or not re.search(r"[0-9]{8,}", s[1:]))
 
 
 def spans_of(texts: list[str], p: dict, chunk: int = 1024) -> list[tuple[list, list]]:

@@ -195,6 +195,13 @@ def test_added_spans_and_clean_text():
     assert all(b == [] and a == [] for b, a in pii.spans_of(plain, model))
 
 
+def test_plausible_leaves_long_runs_of_phone_numbers_to_the_network():
+    for s in ("030 12345678", "0049 1712345678", "(030) 12345678"):
+        assert pii.plausible("phone", s), s
+    for s in ("1234 123456789", "2024-01-15", "12345678901"):
+        assert not pii.plausible("phone", s), s
+
+
 def test_reconcile_joins_cut_spans_and_keeps_the_best():
     spans = [("phone", 60, 64, 4.0, True), ("phone", 58, 75, 9.0, False), ("card", 70, 90, 3.0, False), ("ip", 100, 110, 2.0, False)]
     assert pii.reconcile(spans) == [("phone", 58, 75), ("ip", 100, 110)]
