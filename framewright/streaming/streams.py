@@ -6,33 +6,19 @@ output in the session's shared checkpoint folder.
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import progress
-
-
-def _shared(spark: SparkSession) -> str:
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        own = sc.getConf().get("spark.checkpoint.dir")
-        if own is None:
-            own = tempfile.mkdtemp(prefix="framewright-")
-            atexit.register(shutil.rmtree, own, ignore_errors=True)
-        sc.setCheckpointDir(own)
-    return sc.getCheckpointDir()
+from ..sources.tables import new_path
 
 
 def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
     """Everything the stream returns for what is there now, read from the files it wrote."""
     spark = stream.sparkSession
-    path = f"{_shared(spark)}/stream-{uuid.uuid4().hex}"
+    path = new_path(spark, "stream")
 
     def put(batch: DataFrame, number: int) -> None:
         # a batch that is run again after a failure replaces its own output
