@@ -1,8 +1,9 @@
 """A corpus pipeline of five stages, each by one of the training-data operators.
 
-Every stage is written as Parquet to the session's shared checkpoint folder and read again as the next one's input.
-All stages but the last return the columns of ``documents``. Packing and a trained score aren't SQL, so there is no
-ORACLE_SQL; tests hold run() against plain Python versions of the stages.
+Every stage is written as Parquet to the session's shared checkpoint folder and read again as the next one's input; a
+stage's tables are deleted when the next one is written. All stages but the last return the columns of ``documents``;
+the last returns the packed texts: bin, place in it, document, piece and the piece's text. Packing and a trained score
+aren't SQL, so there is no ORACLE_SQL; tests hold run() against plain Python versions of the stages.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from framewright.llm import mixing, near_copies, packing, pii, toxicity
-from framewright.llm.common import written
+from framewright.sources.tables import dropped, kept, scratch
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,7 +20,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: 5-word shingles, Jaccard similarity of 0.8 or more."""
+    """One document of each group of near copies stays: SimHash of five-word shingles, links confirmed at a similarity of 0.8."""
     return near_copies.keep_one(docs)
 
 
@@ -35,7 +36,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece of every document gets a bin and a place in it."""
-    return packing.best_fit(docs)
+    return packing.packed_texts(docs)
 
 
 STAGES = [
@@ -52,5 +53,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        with scratch():
+            after = kept(stage(spark, docs, sf_dir), f"stage-{name}")
+        dropped(docs)  # the input itself is no such table and stays
+        docs = after
     return docs

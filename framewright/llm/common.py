@@ -1,58 +1,16 @@
-"""Shared pieces of the training-data operators: written tables that cut lineage, and guards on input columns."""
+"""Shared pieces of the training-data operators."""
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import written
+
 #: A word is a run of characters other than space and U+0009 to U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """Folder that the driver and every executor can read: the session's checkpoint folder.
-
-    Where ``spark.checkpoint.dir`` is unset (tests on one machine) a temporary folder is set, once.
-    """
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        own = sc.getConf().get("spark.checkpoint.dir")
-        if own is None:
-            own = tempfile.mkdtemp(prefix="framewright-")
-            atexit.register(shutil.rmtree, own, ignore_errors=True)
-        sc.setCheckpointDir(own)
-    return sc.getCheckpointDir()
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it again.
-
-    The result has no lineage that a lost executor could force Spark to run again, and Spark knows its size.
-    """
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
-    out._framewright_path = path
-    return out
-
-
-def dropped(df: DataFrame) -> None:
-    """Delete the files behind a frame that ``written`` returned and that nothing reads any more."""
-    path = getattr(df, "_framewright_path", None)
-    if path is None:
-        return
-    sc = df.sparkSession.sparkContext
-    target = sc._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
+#: Members of a block; a task holds two blocks at most.
+BLOCK = 1 << 14
 
 
 def word_count(col) -> Column:
@@ -96,3 +54,29 @@ def pieces(batches, keys: int, size: int):
                 held_key, rows, a = key, rows + take, a + take
     if held:
         yield out()
+
+
+def paired_blocks(members: DataFrame, key: str, weight: str, row: str, cap: int = BLOCK) -> DataFrame:
+    """members(key, weight, row, ...) -> the same rows with (i, j, side): every two rows of a key meet in one task.
+
+    A key whose weights add up to ``cap`` or less is one block (0, 0). A heavier one is dealt to as many blocks as it
+    needs, by a hash of the row, and each block goes to every pair of blocks (i, j), i <= j, that it is in: so a task
+    holds two blocks, not the key. side is 0 for block i and 1 for block j; in (i, i) there is side 0 only.
+    """
+    heavy = written(
+        members.groupBy(key).agg(F.sum(weight).alias("__w")).where(F.col("__w") > cap).select(F.col(key).alias("__key"), F.ceil(F.col("__w") / cap).cast("int").alias("__g")),
+        "heavy",
+    )
+    dealt = (
+        members.join(heavy, F.col(key) == F.col("__key"), "left")
+        .drop("__key")
+        .withColumn("__g", F.coalesce("__g", F.lit(1)))
+        .withColumn("__b", F.pmod(F.xxhash64(row), F.col("__g")).cast("int"))
+        .withColumn("__o", F.explode(F.sequence(F.lit(0), F.col("__g") - 1)))
+    )
+    return (
+        dealt.withColumn("i", F.least("__b", "__o"))
+        .withColumn("j", F.greatest("__b", "__o"))
+        .withColumn("side", F.when(F.col("__b") > F.col("__o"), 1).otherwise(0))
+        .drop("__g", "__b", "__o")
+    )

@@ -28,8 +28,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces, written
-from .components import connected_components
+from ..sources.tables import written
+from .common import pieces
+from ..operators.components import connected_components
 
 COSINE = 0.93
 RUN, LEAF = 2048, 256

@@ -24,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_of, written
+from ..sources.tables import written
+from .common import text_of
 
 A = 40
 ORDER = 4

@@ -4,16 +4,20 @@
    at twice its source's size; what is over is shared again by weight. In closed form: target = least(2 * size,
    weight * level), where the level comes from one pass over the sources ordered by 2 * size / weight.
 2. Blocks of ``BLOCK`` words are seats: the sources get them by highest quotients target / (2 j - 1), then each
-   source's shards by their sizes. Both steps start from a rounding that is proven to be at most one seat a
-   member too low (divisor V / (Q - k/2)), so only about three quotients a member are ranked, not all seats.
+   source's groups of shards by their sizes, then each group's shards. No step ranks more than the sources, a source's
+   groups (one for every ``GROUP`` * ``SHARD`` words) or a group's shards. Each starts from a rounding that is proven to
+   be at most one seat a member too low (divisor V / (Q - k/2)), so only about three quotients a member are ranked, not
+   all seats. Sources whose target is under ``LEAST`` blocks share theirs in blocks of one word, or a block's size
+   would decide whether they get anything.
 3. A shard's documents lie in a seeded order on one tape, cut into blocks. A quota q over n blocks takes every
    block q div n times and q mod n of them once more, evenly spaced from a seeded start. That has a closed form,
    so the words taken from a document come from its two tape positions alone.
 
-A hot source has as many shards as its size asks for, by a hash of id and text; no step gathers a source.
+Rows of one id, text and source are one class, counted before anything is ordered, so a group of copies costs one row
+on the tape; its copies follow each other there. A hot source has as many shards as its size asks for, by a hash of id,
+text and source; no step gathers a source.
 Nulls and edge cases: a null text has size 0; documents without words take 0; a null id is ordered by its text;
-a null source is a source of its own; repeated rows are documents of their own (equal rows get equal chances,
-their order on the tape doesn't change the rows returned). An empty table gives an empty table.
+a null source is a source of its own; repeated rows are documents of their own. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -21,10 +25,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, word_count, written
+from ..sources.tables import written
+from .common import WORD, word_count
 
 BLOCK = 64
+LEAST = 16
 SHARD = 1 << 18
+GROUP = 1024
+#: Copies of a class that one task writes out.
+COPIES = 4096
 SEED = "mix-1"
 
 
@@ -64,12 +73,12 @@ def sainte_lague(members: DataFrame, group: list[str], order: str, votes: str, s
 
 
 def targets(sized: DataFrame, weights=(3, 1, 2)) -> DataFrame:
-    """sized(source, size) -> (no, source, source_size, target, seats, shards), a row a source."""
+    """sized(source, size, copies) -> (no, source, source_size, target, width, seats, shards), a row a source."""
     everything = Window.partitionBy("one")
     by_ratio = everything.orderBy("ratio", "no")
     return (
         sized.groupBy("source")
-        .agg(F.sum("size").alias("source_size"))
+        .agg(F.sum(F.col("size") * F.col("copies")).alias("source_size"))
         .withColumn("one", F.lit(1))
         .withColumn("no", F.row_number().over(everything.orderBy(F.asc_nulls_last("source"))))
         .withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), ((F.col("no") - 1) % len(weights) + 1).cast("int")))
@@ -83,40 +92,73 @@ def targets(sized: DataFrame, weights=(3, 1, 2)) -> DataFrame:
             "target",
             F.least(2.0 * F.col("source_size"), F.coalesce(F.col("weight") * F.col("first.level"), 2.0 * F.col("source_size"))),
         )
-        .withColumn("seats", F.floor(1.5 * F.col("total") / BLOCK + 0.5).cast("long"))
+        .withColumn("width", F.when(F.col("target") >= LEAST * BLOCK, BLOCK).otherwise(1).cast("long"))
+        .withColumn("seats", F.floor(F.round(F.sum("target").over(Window.partitionBy("width")), 3) / F.col("width") + 0.5).cast("long"))
         .withColumn("shards", F.greatest(F.ceil(F.col("source_size") / SHARD), F.lit(1)).cast("long"))
-        .select("one", "no", "source", "source_size", "target", "seats", "shards")
+        .select("no", "source", "source_size", "target", "width", "seats", "shards")
     )
 
 
-def plan(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source", weights=(3, 1, 2), keep=()) -> DataFrame:
-    """(doc_id, key, source, size, source_size, target, base, extra, blocks, start, at, taken), a row a document.
+def _copies(classes: DataFrame) -> DataFrame:
+    """A row (``copy`` from 0) for each of a class's ``copies``; many copies are written out by many tasks."""
+    few = classes.where(F.col("copies") <= COPIES).withColumn("copy", F.explode(F.expr("sequence(0L, copies - 1)")))
+    many = (
+        classes.where(F.col("copies") > COPIES)
+        .withColumn("chunk", F.explode(F.expr(f"sequence(0L, (copies - 1) div {COPIES})")))
+        .repartition("key", "chunk")
+        .withColumn("copy", F.explode(F.expr(f"sequence(chunk * {COPIES}, least(copies, (chunk + 1) * {COPIES}) - 1)")))
+        .drop("chunk")
+    )
+    return few.unionByName(many)
+
+
+def _numbered(sized: DataFrame, row: str) -> DataFrame:
+    """(key, copy, row): the rows of each key numbered from 0, counted by the scan's parts, which divide a hot key."""
+    chunked = sized.select("key", row, F.shiftright(row, 33).alias("chunk"))
+    counts = chunked.groupBy("key", "chunk").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.select("key", "chunk", (F.sum("n").over(Window.partitionBy("key").orderBy("chunk")) - F.col("n")).alias("before"))
+    own = chunked.withColumn("place", F.row_number().over(Window.partitionBy("key", "chunk").orderBy(row)) - 1)
+    return own.join(counts, ["key", "chunk"]).select("key", (F.col("before") + F.col("place")).cast("long").alias("copy"), row)
+
+
+def plan(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source", weights=(3, 1, 2), row: str | None = None) -> DataFrame:
+    """(doc_id, key, copy, source, size, source_size, target, width, base, extra, blocks, start, at, taken), a row a document.
 
-    ``at`` is the document's first word on its shard's tape; ``base``, ``extra``, ``blocks`` and ``start`` say how
-    often the shard's blocks are taken. ``key`` orders the document: id, or its text's digest without one. Columns named
-    in ``keep`` come along.
+    ``at`` is the document's first word on its shard's tape; ``base``, ``extra``, ``blocks`` (of ``width`` words) and
+    ``start`` say how often the shard's blocks are taken. ``key`` names the class. ``row``: a column with
+    monotonically increasing ids, written before, that is to come along.
     """
     sized = written(
         docs.select(
             F.col(id_col).alias("doc_id"),
-            F.coalesce(F.col(id_col).cast("string"), F.md5(F.coalesce(F.col(text_col), F.lit("")))).alias("key"),
+            F.concat(
+                F.coalesce(F.col(id_col).cast("string"), F.lit("")),
+                F.lit("|"),
+                F.md5(F.coalesce(F.col(text_col), F.lit(""))),
+                F.lit("|"),
+                F.coalesce(F.concat(F.lit("s"), F.col(source_col)), F.lit("n")),
+            ).alias("key"),
             F.col(source_col).alias("source"),
             word_count(F.col(text_col)).alias("size"),
-            *keep,
+            *([row] if row else []),
         ),
         "sizes",
     )
-    sources = written(sainte_lague(targets(sized, weights), ["one"], "no", "target", "seats"), "sources")
+    classes = written(sized.groupBy("key", "doc_id", "source", "size").agg(F.count(F.lit(1)).alias("copies")), "classes")
+    sources = written(sainte_lague(targets(classes, weights), ["width"], "no", "target", "seats"), "sources")
     placed = (
-        sized.join(sources, sized.source.eqNullSafe(sources.source))
-        .select("doc_id", "key", sized.source, "size", "source_size", "target", "no", F.col("quota").alias("source_quota"), "shards", *keep)
+        classes.join(sources, classes.source.eqNullSafe(sources.source))
+        .select("doc_id", "key", classes.source, "size", "copies", "source_size", "target", "width", "no", F.col("quota").alias("source_quota"), "shards")
         .withColumn("draw", _draw(F.col("key")))
         .withColumn("shard", F.pmod("draw", "shards"))
     )
-    shards = placed.where("size > 0").groupBy("no", "shard", "source_quota").agg(F.sum("size").alias("length"))
+    lengths = placed.where("size > 0").groupBy("no", "shard", "width", "source_quota").agg(F.sum(F.col("size") * F.col("copies")).alias("length"))
+    lengths = written(lengths.withColumn("grp", F.expr(f"shard div {GROUP}")), "shards")
+    groups = sainte_lague(lengths.groupBy("no", "grp", "source_quota").agg(F.sum("length").alias("length")), ["no"], "grp", "length", "source_quota")
+    shards = lengths.join(groups.select("no", "grp", F.col("quota").alias("group_quota")), ["no", "grp"])
     quotas = (
-        sainte_lague(shards, ["no"], "shard", "length", "source_quota")
-        .withColumn("blocks", F.ceil(F.col("length") / BLOCK).cast("long"))
+        sainte_lague(shards, ["no", "grp"], "shard", "length", "group_quota")
+        .withColumn("blocks", F.ceil(F.col("length") / F.col("width")).cast("long"))
         .withColumn("quota", F.least(F.col("quota"), 2 * F.col("blocks")))
         .select(
             "no",
@@ -127,14 +169,18 @@ def plan(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source",
             F.pmod(_draw(F.lit("start"), F.col("no").cast("string"), F.col("shard").cast("string")), F.col("blocks")).alias("start"),
         )
     )
-    tape = Window.partitionBy("no", "shard").orderBy("draw", "key", "size").rowsBetween(Window.unboundedPreceding, -1)
-    worded = placed.where("size > 0").withColumn("at", F.coalesce(F.sum("size").over(tape), F.lit(0)))
-    got = worded.join(quotas, ["no", "shard"]).withColumn(
-        "taken", F.col("base") * F.col("size") + _extra_before(F.col("at") + F.col("size")) - _extra_before(F.col("at"))
+    tape = Window.partitionBy("no", "shard").orderBy("draw", "key").rowsBetween(Window.unboundedPreceding, -1)
+    worded = placed.where("size > 0").withColumn("first", F.coalesce(F.sum(F.col("size") * F.col("copies")).over(tape), F.lit(0)))
+    got = (
+        _copies(worded.join(quotas, ["no", "shard"]))
+        .withColumn("at", F.col("first") + F.col("copy") * F.col("size"))
+        .withColumn("taken", F.col("base") * F.col("size") + _extra_before(F.col("at") + F.col("size")) - _extra_before(F.col("at")))
     )
-    names = ["doc_id", "key", "source", "size", "source_size", "target", "base", "extra", "blocks", "start", "at", "taken", *keep]
-    none = placed.where("size = 0").select(*[F.col(x) if x in placed.columns else F.lit(0).cast("long").alias(x) for x in names])
-    return got.select(*names).unionByName(none)
+    names = ["doc_id", "key", "copy", "source", "size", "source_size", "target", "width", "base", "extra", "blocks", "start", "at", "taken"]
+    empty = _copies(placed.where("size = 0"))
+    none = empty.select(*[F.col(x) if x in empty.columns else F.lit(0).cast("long").alias(x) for x in names])
+    out = got.select(*names).unionByName(none)
+    return out.join(_numbered(sized, row), ["key", "copy"]) if row else out
 
 
 def _chosen_before(block: Column, start="start", extra="extra", blocks="blocks") -> Column:
@@ -145,8 +191,9 @@ def _chosen_before(block: Column, start="start", extra="extra", blocks="blocks")
 
 def _extra_before(word: Column) -> Column:
     """Words that the extra pass takes from the tape before this position."""
-    block = F.floor(word / BLOCK)
-    return (_chosen_before(block) * BLOCK + (_chosen_before(block + 1) - _chosen_before(block)) * (word - block * BLOCK)).cast("long")
+    width = F.col("width")
+    block = F.floor(word / width)
+    return (_chosen_before(block) * width + (_chosen_before(block + 1) - _chosen_before(block)) * (word - block * width)).cast("long")
 
 
 def mix(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source") -> DataFrame:
@@ -154,17 +201,17 @@ def mix(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source")
     of its blocks that are taken once more, white space between them kept. Documents of which nothing is taken go."""
     # rows are numbered in a written table, so that each meets its own part of the plan, whatever its id
     rows = written(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
-    words_of = ["size", "base", "extra", "blocks", "start", "at", "taken"]
-    found = plan(rows, id_col, text_col, source_col, keep=("__row",)).where("taken > 0").select(
+    words_of = ["size", "width", "base", "extra", "blocks", "start", "at", "taken"]
+    found = plan(rows, id_col, text_col, source_col, row="__row").where("taken > 0").select(
         "__row", F.struct(*words_of).alias("__plan")
     )
     p = {c: F.col(f"__plan.{c}") for c in words_of}
     chosen = lambda b: _chosen_before(b, p["start"], p["extra"], p["blocks"])
-    a, z = F.floor(p["at"] / BLOCK), F.floor((p["at"] + p["size"] - 1) / BLOCK)
+    a, z = F.floor(p["at"] / p["width"]), F.floor((p["at"] + p["size"] - 1) / p["width"])
     pieces = F.transform(
         F.filter(F.sequence(a, z), lambda b: chosen(b + 1) > chosen(b)),
         lambda b: F.struct(
-            F.greatest(b * BLOCK - p["at"], F.lit(0)).alias("a"), F.least((b + 1) * BLOCK - p["at"], p["size"]).alias("z")
+            F.greatest(b * p["width"] - p["at"], F.lit(0)).alias("a"), F.least((b + 1) * p["width"] - p["at"], p["size"]).alias("z")
         ),
     )
     more = p["taken"] - p["base"] * p["size"]
@@ -188,13 +235,31 @@ def mix(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source")
 
 def op3_mixing(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return plan(docs).select("doc_id", "source", "size", "source_size", "target", "taken")
+    return plan(docs).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
-SQL = f"""
+def _apportioned(name: str, rows: str, by: str, order: str, votes: str, seats: str) -> str:
+    """SQL of ``sainte_lague``: ``name`` has the columns of ``rows`` and the quota."""
+    n, keys = name, ", ".join(x for x in (by, order) if x)
+    part = f"PARTITION BY {by}" if by else ""
+    same = " AND ".join(f"m.{k} = p.{k}" for k in keys.split(", "))
+    return f"""
+{n}_1 AS (SELECT *, sum({votes}) OVER ({part}) AS v, count(*) OVER ({part}) AS k FROM {rows}),
+{n}_2 AS (SELECT *, CASE WHEN v > 0 THEN {votes}::DOUBLE / v ELSE 0 END AS share FROM {n}_1),
+{n}_3 AS (SELECT *, CAST(floor(greatest(share * ({seats} - k::DOUBLE / 2), 0) + 0.5) AS BIGINT) AS low,
+         CAST(floor(share * ({seats} + k::DOUBLE / 2) + 0.5) AS BIGINT) + 1 AS high FROM {n}_2),
+{n}_4 AS (SELECT *, {seats} - CAST(sum(low) OVER ({part}) AS BIGINT) AS remaining FROM {n}_3),
+{n}_5 AS (SELECT {keys}, remaining, {votes} AS vote, unnest(range(low + 1, high + 1)) AS j FROM {n}_4 WHERE remaining > 0 AND {votes} > 0),
+{n}_6 AS (SELECT *, row_number() OVER ({part} ORDER BY vote::DOUBLE / (2 * j - 1) DESC, {order}, j) AS r FROM {n}_5),
+{n}_7 AS (SELECT {keys}, count(*) AS more FROM {n}_6 WHERE r <= remaining GROUP BY ALL),
+{n} AS (SELECT p.* EXCLUDE (v, k, share, low, high, remaining), low + coalesce(more, 0) AS quota FROM {n}_4 p LEFT JOIN {n}_7 m ON {same})"""
+
+
+def sql(block: int = BLOCK, shard: int = SHARD, group: int = GROUP) -> str:
+    return f"""
 WITH sized AS (
-  SELECT doc_id, coalesce(CAST(doc_id AS VARCHAR), md5(coalesce(text, ''))) AS key, source,
-         CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size
+  SELECT doc_id, coalesce(CAST(doc_id AS VARCHAR), '') || '|' || md5(coalesce(text, '')) || '|' || coalesce('s' || source, 'n') AS key, source,
+         CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
   FROM documents),
 s1 AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
 s2 AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS no FROM s1),
@@ -204,46 +269,38 @@ s5 AS (SELECT *, CAST(coalesce(sum(source_size) OVER (ORDER BY ratio, no ROWS BE
          CAST(sum(weight) OVER (ORDER BY ratio, no ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS BIGINT) AS rest FROM s4),
 s6 AS (SELECT *, CAST(3 * total - 4 * before AS DOUBLE) / (2 * rest) AS level FROM s5),
 s7 AS (SELECT *, (SELECT i.level FROM s6 i WHERE i.ratio > i.level ORDER BY i.ratio, i.no LIMIT 1) AS lev FROM s6),
-s8 AS (SELECT no, source, source_size, least(2.0::DOUBLE * source_size, coalesce(weight * lev, 2.0::DOUBLE * source_size)) AS target,
-         CAST(floor(1.5::DOUBLE * total / {BLOCK} + 0.5) AS BIGINT) AS seats,
-         CAST(greatest(ceil(source_size::DOUBLE / {SHARD}), 1) AS BIGINT) AS shards FROM s7),
-a1 AS (SELECT *, sum(target) OVER () AS v, count(*) OVER () AS k FROM s8),
-a2 AS (SELECT *, CASE WHEN v > 0 THEN target / v ELSE 0 END AS share FROM a1),
-a3 AS (SELECT *, CAST(floor(greatest(share * (seats - k::DOUBLE / 2), 0) + 0.5) AS BIGINT) AS low,
-         CAST(floor(share * (seats + k::DOUBLE / 2) + 0.5) AS BIGINT) + 1 AS high FROM a2),
-a4 AS (SELECT *, seats - CAST(sum(low) OVER () AS BIGINT) AS remaining FROM a3),
-a5 AS (SELECT no, remaining, target, unnest(range(low + 1, high + 1)) AS j FROM a4 WHERE remaining > 0 AND target > 0),
-a6 AS (SELECT *, row_number() OVER (ORDER BY target / (2 * j - 1) DESC, no, j) AS r FROM a5),
-a7 AS (SELECT no, count(*) AS more FROM a6 WHERE r <= remaining GROUP BY no),
-sources AS (SELECT a4.*, low + coalesce(more, 0) AS quota FROM a4 LEFT JOIN a7 USING (no)),
-placed AS (SELECT d.doc_id, d.key, d.source, d.size, s.source_size, s.target, s.no, s.quota, s.shards,
+s8 AS (SELECT no, source, source_size, least(2.0::DOUBLE * source_size, coalesce(weight * lev, 2.0::DOUBLE * source_size)) AS target FROM s7),
+s9 AS (SELECT *, CASE WHEN target >= {LEAST * block} THEN {block} ELSE 1 END AS width,
+         CAST(greatest(ceil(source_size::DOUBLE / {shard}), 1) AS BIGINT) AS shards FROM s8),
+s10 AS (SELECT *, CAST(floor(round(sum(target) OVER (PARTITION BY width), 3) / width + 0.5) AS BIGINT) AS seats FROM s9),
+{_apportioned("sources", "s10", "width", "no", "target", "seats")},
+placed AS (SELECT d.doc_id, d.key, d.source, d.size, s.source_size, s.target, s.width, s.no, s.quota AS source_quota, s.shards,
          CAST('0x' || substr(md5('{SEED}|' || d.key), 1, 13) AS BIGINT) AS draw
   FROM sized d JOIN sources s ON d.source IS NOT DISTINCT FROM s.source),
 p2 AS (SELECT *, draw % shards AS shard FROM placed),
-b0 AS (SELECT no, shard, quota AS seats, CAST(sum(size) AS BIGINT) AS length FROM p2 WHERE size > 0 GROUP BY ALL),
-b1 AS (SELECT *, CAST(sum(length) OVER (PARTITION BY no) AS BIGINT) AS v, count(*) OVER (PARTITION BY no) AS k FROM b0),
-b2 AS (SELECT *, length::DOUBLE / v AS share FROM b1),
-b3 AS (SELECT *, CAST(floor(greatest(share * (seats - k::DOUBLE / 2), 0) + 0.5) AS BIGINT) AS low,
-         CAST(floor(share * (seats + k::DOUBLE / 2) + 0.5) AS BIGINT) + 1 AS high FROM b2),
-b4 AS (SELECT *, seats - CAST(sum(low) OVER (PARTITION BY no) AS BIGINT) AS remaining FROM b3),
-b5 AS (SELECT no, shard, remaining, length, unnest(range(low + 1, high + 1)) AS j FROM b4 WHERE remaining > 0),
-b6 AS (SELECT *, row_number() OVER (PARTITION BY no ORDER BY length::DOUBLE / (2 * j - 1) DESC, shard, j) AS r FROM b5),
-b7 AS (SELECT no, shard, count(*) AS more FROM b6 WHERE r <= remaining GROUP BY ALL),
-b8 AS (SELECT b4.no, b4.shard, low + coalesce(more, 0) AS quota, CAST(ceil(length::DOUBLE / {BLOCK}) AS BIGINT) AS blocks
-  FROM b4 LEFT JOIN b7 ON b4.no = b7.no AND b4.shard = b7.shard),
+b0 AS (SELECT no, shard, shard // {group} AS grp, width, source_quota, CAST(sum(size) AS BIGINT) AS length FROM p2 WHERE size > 0 GROUP BY ALL),
+g0 AS (SELECT no, grp, source_quota, CAST(sum(length) AS BIGINT) AS length FROM b0 GROUP BY ALL),
+{_apportioned("groups_", "g0", "no", "grp", "length", "source_quota")},
+b1 AS (SELECT b0.*, g.quota AS group_quota FROM b0 JOIN groups_ g ON b0.no = g.no AND b0.grp = g.grp),
+{_apportioned("b2", "b1", "no, grp", "shard", "length", "group_quota")},
+b8 AS (SELECT no, shard, width, quota, CAST(ceil(length::DOUBLE / width) AS BIGINT) AS blocks FROM b2),
 quotas AS (SELECT no, shard, blocks, least(quota, 2 * blocks) // blocks AS base, least(quota, 2 * blocks) % blocks AS extra,
          CAST('0x' || substr(md5('{SEED}|start|' || no || '|' || shard), 1, 13) AS BIGINT) % blocks AS start FROM b8),
-tape AS (SELECT *, CAST(coalesce(sum(size) OVER (PARTITION BY no, shard ORDER BY draw, key, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS pos
+tape AS (SELECT *, row_number() OVER () AS row,
+         CAST(coalesce(sum(size) OVER (PARTITION BY no, shard ORDER BY draw, key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS pos
   FROM p2 WHERE size > 0),
 ends AS (SELECT t.*, q.base, q.extra, q.blocks, q.start, unnest([pos, pos + size]) AS word, unnest([-1, 1]) AS sign
   FROM tape t JOIN quotas q ON t.no = q.no AND t.shard = q.shard),
-e2 AS (SELECT *, word // {BLOCK} AS block FROM ends),
+e2 AS (SELECT *, word // width AS block FROM ends),
 e3 AS (SELECT *, ((block + start) * extra) // blocks - (start * extra) // blocks AS c0,
          ((block + 1 + start) * extra) // blocks - (start * extra) // blocks AS c1 FROM e2),
-got AS (SELECT doc_id, key, pos, source, size, source_size, target, no, shard,
-         CAST(any_value(base) * size + sum(sign * (c0 * {BLOCK} + (c1 - c0) * (word - block * {BLOCK}))) AS BIGINT) AS taken
-  FROM e3 GROUP BY doc_id, key, pos, source, size, source_size, target, no, shard)
-SELECT doc_id, source, size, source_size, target, taken FROM got
+got AS (SELECT row, doc_id, source, size, source_size, target,
+         CAST(any_value(base) * size + sum(sign * (c0 * width + (c1 - c0) * (word - block * width))) AS BIGINT) AS taken
+  FROM e3 GROUP BY row, doc_id, source, size, source_size, target)
+SELECT doc_id, size, source_size, target, taken, source FROM got
 UNION ALL
-SELECT doc_id, source, size, source_size, target, CAST(0 AS BIGINT) FROM p2 WHERE size = 0
+SELECT doc_id, size, source_size, target, CAST(0 AS BIGINT), source FROM p2 WHERE size = 0
 """
+
+
+SQL = sql()

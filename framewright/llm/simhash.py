@@ -1,15 +1,21 @@
-"""SimHash near-duplicate detection with a bit-sliced comparison of fingerprints.
+"""SimHash near-dedup with a bit-sliced comparison of fingerprints.
 
 Fingerprints are computed in Arrow batches, then reduced to the distinct ones. The 64 bits are cut into eight
 bands; two fingerprints within ``RADIUS`` = 2 bits agree on at least six whole bands. Each fingerprint is
 therefore sent once to each of the 28 choices of six bands, keyed by those 48 bits. A group of one key can
 differ in 16 bits only, so it holds at most 65,536 distinct fingerprints, however many documents there are:
-the bound is proven, no group is capped and no pair is lost. Inside a group the fingerprints are stored as
-bit planes and compared word-parallel (``links_of``).
-
-Nulls and edge cases: a null text counts as empty; a text without words has fingerprint zero and links like any
-other; a null doc_id keeps its row and takes the component of documents with the same fingerprint, or null.
-Repeated rows and ids are kept. An empty table gives an empty table. Columns other than the two read are ignored.
+the bound is proven, no group is capped and no link is lost.
+
+Bit planes are stored vertically: one word operation moves 64 distances on. Differing bits are added into carry-save
+counters that start so high that a distance over the radius overflows; a block of lanes is abandoned once all have
+(``far_lanes``). In small groups the lanes are pairs, over all groups of a batch; in large ones a tile of fingerprints
+is compared with blocks of the others, less those it is connected with already (``linked``). The kernel takes any
+radius and width; ``near_copies`` uses it with wide fingerprints of five words.
+
+Nulls and edge cases: the graph's nodes are fingerprints, so rows without an id take part, and rows that repeat an id are
+documents of their own. component_id is the smallest id in the component, null where no row of it has one. A null text
+counts as empty; a text without words has fingerprint zero and links like any other. An empty table gives an empty
+table. Columns other than the two read are ignored.
 """
 
 from __future__ import annotations
@@ -21,12 +27,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of, written
-from .components import connected_components
+from ..operators.components import connected_components
+from ..sources.tables import written
+from .common import text_of
 
 RADIUS = 2
 BANDS = 8
 SEED = 42
+#: Groups up to this size are compared pair by pair, the lanes being pairs.
+SMALL = 16
+TILE, WORDS = 64, 64
+FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def _masks() -> list[int]:
@@ -39,11 +50,15 @@ def _masks() -> list[int]:
     return out
 
 
+def words_of(text: str) -> list[bytes]:
+    return text.encode("utf-8", "surrogatepass").lower().split()  # bytes: ASCII case and ASCII white space only
+
+
 def shingle_hashes(text: str, words: int = 3) -> np.ndarray:
     """XXH64 of every shingle of ``words`` words, repeats included; A-Z lower-cased."""
     from xxhash import xxh64_intdigest
 
-    parts = text.encode("utf-8", "surrogatepass").lower().split()  # bytes: ASCII case and ASCII white space only
+    parts = words_of(text)
     if not parts:
         return np.zeros(0, np.uint64)
     if len(parts) <= words:
@@ -54,21 +69,23 @@ def shingle_hashes(text: str, words: int = 3) -> np.ndarray:
     return np.array([xxh64_intdigest(line[a : b - 1], SEED) for a, b in zip(starts, ends[words - 1 :])], np.uint64)
 
 
-def fingerprint(hashes: np.ndarray) -> int:
-    """Bit i is one if it is one in over half of the hashes. Unsigned."""
-    n = len(hashes)
-    if not n:
-        return 0
-    ones = np.zeros(64, np.int64)
-    octets = hashes.astype("<u8", copy=False).view(np.uint8).reshape(n, 8)
+def majority(octets: np.ndarray) -> np.ndarray:
+    """(n, bytes) -> bytes: a bit is one if it is one in over half of the rows."""
+    n, width = octets.shape
+    ones = np.zeros(8 * width, np.int64)
     for at in range(0, n, 255 * 64):  # uint8 sums of at most 255 rows never overflow
         bits = np.unpackbits(octets[at : at + 255 * 64], axis=1, bitorder="little")
         whole = len(bits) // 255 * 255
         if whole:
-            ones += np.add.reduce(bits[:whole].reshape(255, -1, 64), axis=0, dtype=np.uint8).sum(axis=0, dtype=np.int64)
+            ones += np.add.reduce(bits[:whole].reshape(255, -1, 8 * width), axis=0, dtype=np.uint8).sum(axis=0, dtype=np.int64)
         if whole < len(bits):
             ones += np.add.reduce(bits[whole:], axis=0, dtype=np.uint8)
-    return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
+    return np.packbits(2 * ones > n, bitorder="little")
+
+
+def fingerprint(hashes: np.ndarray) -> int:
+    """Bit i is one if it is one in over half of the hashes. Unsigned; zero without hashes."""
+    return int(majority(hashes.astype("<u8", copy=False).view(np.uint8).reshape(-1, 8)).view("<u8")[0])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
@@ -86,140 +103,202 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
-def planes_of(values: np.ndarray, varying: np.ndarray) -> np.ndarray:
-    """Bit planes of ``values``: row j holds bit varying[j] of all of them, 64 to a word."""
-    n = -(-len(values) // 64) * 64
-    bits = np.zeros((len(varying), n), np.uint8)
-    for row, bit in enumerate(varying):
-        bits[row, : len(values)] = (values >> np.uint64(bit)) & np.uint64(1)
-    return np.packbits(bits, axis=1, bitorder="little").view("<u8")
+# ---- the bit-sliced comparison
 
 
-def links_of(values: np.ndarray, radius: int = RADIUS):
-    """Yields (i, js): for each i the later positions within ``radius`` bits, by vertical bit planes.
+def planes_of(bits: np.ndarray) -> np.ndarray:
+    """(lanes, bits) of 0 and 1 -> (bits, words): plane k holds bit k of all lanes, 64 to a word."""
+    n = -(-len(bits) // 64) * 64
+    wide = np.zeros((bits.shape[1], n), np.uint8)
+    wide[:, : len(bits)] = bits.T
+    return np.packbits(wide, axis=1, bitorder="little").view("<u8")
 
-    For one query the distances to 64 others advance with each word operation: the differing bits of a plane are
-    added into carry-save counters (ones, twos, and 'over', which stays set from three on). A block is
-    abandoned once 'over' covers every lane.
-    """
-    if radius > 2:
-        raise ValueError("the carry-save counters here count to two")
-    n = len(values)
-    spread = np.bitwise_or.reduce(values ^ values[0])
-    varying = np.array([b for b in range(64) if int(spread) >> b & 1], np.int64)
-    planes = planes_of(values, varying)
-    tail = np.uint64(0xFFFFFFFFFFFFFFFF)
-    rows = ((values[:, None] >> varying.astype(np.uint64)) & np.uint64(1)).astype(bool) if n <= 65536 else None
-    for i in range(n - 1):
-        first = (i + 1) // 64
-        ones = np.zeros(planes.shape[1] - first, np.uint64)
-        twos, over = ones.copy(), ones.copy()
-        for j in range(len(varying)):
-            plane = planes[j, first:]
-            differs = plane ^ tail if rows[i, j] else plane
-            carry = ones & differs
-            ones = ones ^ differs
-            over |= twos & carry
-            twos = twos ^ carry
-            if j > radius and not j % 4 and (over == tail).all():
-                break
-        else:
-            far = over if radius == 2 else over | twos if radius == 1 else over | twos | ones
-            if radius == 2:
-                far = over | (twos & ones)
-            near = np.flatnonzero(np.unpackbits((~far).view(np.uint8), bitorder="little")) + first * 64
-            near = near[(near > i) & (near < n)]
-            if len(near):
-                yield i, near
 
+def _add3(a, b, c):
+    """Carry-save: (low, high) bits of the lanes' sums."""
+    u = a ^ b
+    return u ^ c, (a & b) | (u & c)
 
-def _forest(values: np.ndarray, nodes: np.ndarray) -> list[tuple[int, int]]:
-    """Links that connect what is linked inside one group: at most one for each member."""
-    root = list(range(len(values)))
 
-    def find(x):
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
+def far_lanes(plane, planes: int, shape: tuple, radius: int) -> np.ndarray:
+    """Words of lanes; a bit is one if more than ``radius`` of the planes have a one there. plane(k): words of plane k.
 
-    out = []
-    for i, js in links_of(values):
-        for j in js.tolist():
-            a, b = find(i), find(j)
-            if a != b:
-                root[max(a, b)] = min(a, b)
-                out.append((int(nodes[i]), int(nodes[j])))
-    return out
+    Counters of k bits start at 2**k - 1 - radius, so that what is over the radius overflows. Eight planes go through a
+    tree of carry-save adders at once where there are three counters or more.
+    """
+    k = max(1, int(radius).bit_length())
+    count = [np.full(shape, FULL if (1 << k) - 1 - radius >> t & 1 else 0, np.uint64) for t in range(k)]
+    over = np.zeros(shape, np.uint64)
+
+    def add(bit, level):
+        for t in range(level, k):
+            count[t], bit = count[t] ^ bit, count[t] & bit
+        np.bitwise_or(over, bit, out=over)
+
+    at = 0
+    while at < planes:
+        if k >= 3 and planes - at >= 8:
+            p = [plane(at + x) for x in range(8)]
+            count[0], two_a = _add3(count[0], p[0], p[1])
+            count[0], two_b = _add3(count[0], p[2], p[3])
+            count[1], four_a = _add3(count[1], two_a, two_b)
+            count[0], two_a = _add3(count[0], p[4], p[5])
+            count[0], two_b = _add3(count[0], p[6], p[7])
+            count[1], four_b = _add3(count[1], two_a, two_b)
+            count[2], eight = _add3(count[2], four_a, four_b)
+            add(eight, 3)
+            at += 8
+        else:
+            add(plane(at), 0)
+            at += 1
+        if at > radius and not at % 4 and (over == FULL).all():
+            break  # abandoned
+    return over
+
+
+def _near(far: np.ndarray, lanes: int) -> np.ndarray:
+    return np.unpackbits((~far).view(np.uint8), axis=-1, bitorder="little")[..., :lanes].astype(bool)
+
+
+def _forest(octets: np.ndarray, radius: int, sides: np.ndarray | None):
+    """Links (i, js) of one group that connect what is linked: at most one for each member. With sides only across."""
+    bits = np.unpackbits(octets ^ octets[0], axis=1, bitorder="little")
+    bits = bits[:, bits.any(0)]
+    label = np.arange(len(bits))
+    planes = planes_of(bits)
+    for s in range(0, len(bits), TILE):
+        rows = np.arange(s, min(s + TILE, len(bits)))
+        p, lanes = planes[:, s // 64 :], np.arange(s // 64 * 64, len(bits))
+        if (label[rows] == label[s]).all():
+            others = lanes[label[lanes] != label[s]]
+            if not len(others):
+                continue
+            if 2 * len(others) < len(lanes):
+                p, lanes = planes_of(bits[others]), others
+        flips = np.where(bits[rows].T[:, :, None], FULL, np.uint64(0))
+        for w in range(0, p.shape[1], WORDS):
+            q = p[:, w : w + WORDS]
+            far = far_lanes(lambda k: q[k] ^ flips[k], len(q), (len(rows), q.shape[1]), radius)
+            if (far == FULL).all():
+                continue
+            here = lanes[w * 64 : (w + WORDS) * 64]
+            near = _near(far, len(here))
+            for r in np.flatnonzero(near.any(1)):
+                i = rows[r]
+                js = here[near[r]]
+                js = js[label[js] != label[i]]
+                if sides is not None:
+                    js = js[sides[js] != sides[i]]
+                if len(js):
+                    old, first = np.unique(label[js], return_index=True)
+                    yield int(i), js[first]
+                    to = np.arange(len(bits))
+                    to[old] = label[i]
+                    label = to[label]
+
+
+def linked(ends: np.ndarray, octets: np.ndarray, radius: int, sides: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Positions (a, b) of links within groups of rows that end at ``ends``; octets: (rows, bytes) of fingerprints.
+
+    Small groups give all their links, large ones a spanning forest. sides: 0 and 1 where a group is two blocks, of which
+    only pairs across count, else -1.
+    """
+    size = np.diff(ends, prepend=0)
+    a_, b_ = [], []
+    small = np.repeat(size <= SMALL, size)
+    left = np.repeat(ends, size) - np.arange(len(octets))
+    for lag in range(1, SMALL):
+        a = np.flatnonzero(small & (left > lag))
+        if not len(a):
+            break
+        for at in range(0, len(a), 1 << 16):
+            x = a[at : at + (1 << 16)]
+            planes = planes_of(np.unpackbits(octets[x] ^ octets[x + lag], axis=1, bitorder="little"))
+            x = x[_near(far_lanes(planes.__getitem__, len(planes), planes.shape[1:], radius), len(x))]
+            if sides is not None:
+                x = x[(sides[x] < 0) | (sides[x] != sides[x + lag])]
+            a_.append(x)
+            b_.append(x + lag)
+    for g in np.flatnonzero(size > SMALL):
+        first = ends[g] - size[g]
+        own = None if sides is None or sides[first] < 0 else sides[first : ends[g]]
+        for i, js in _forest(octets[first : ends[g]], radius, own):
+            a_.append(np.full(len(js), first + i))
+            b_.append(first + js)
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *a_]), np.concatenate([none, *b_])
+
+
+def compare_groups(keys: int, radius: int, at_once: int = 1 << 17):
+    """Function of Arrow batches sorted by their first ``keys`` columns (then side, node, fingerprint) -> links (a, b) of nodes.
+
+    side is -1 for a whole group, or 0 and 1 for two blocks of one. Groups are compared many at once.
+    """
 
+    def links(table):
+        key = [table.column(k).to_numpy() for k in range(keys)]
+        change = np.zeros(table.num_rows, bool)
+        change[-1] = True
+        for x in key:
+            change[:-1] |= x[1:] != x[:-1]
+        sides, nodes = (table.column(keys + k).to_numpy() for k in (0, 1))
+        raw = table.column(keys + 2).combine_chunks()
+        if pa.types.is_binary(raw.type):
+            octets = np.frombuffer(b"".join(raw.to_pylist()), np.uint8).reshape(table.num_rows, -1)
+        else:
+            octets = raw.to_numpy(zero_copy_only=False).astype("<i8").view(np.uint8).reshape(-1, 8)
+        a, b = linked(np.flatnonzero(change) + 1, octets, radius, sides)
+        pairs = np.unique(np.sort(np.stack([nodes[a], nodes[b]], 1), axis=1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, k]) for k in (0, 1)], names=["a", "b"])
 
-def _compare(batches):
-    """Rows (choice, key, fp, rep) sorted by choice and key -> links. A group may go across batches."""
-    held = None
-
-    def links(choice, key, fp, rep):
-        cut = np.flatnonzero((np.diff(key) != 0) | (np.diff(choice) != 0)) + 1
-        starts, ends = np.r_[0, cut], np.r_[cut, len(key)]
-        for s in np.flatnonzero(ends - starts > 1):
-            yield from _forest(fp[starts[s] : ends[s]], rep[starts[s] : ends[s]])
-
-    def frame(found):
-        return pa.RecordBatch.from_arrays(
-            [pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"]
-        )
-
-    for batch in batches:
-        got = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(4)]
-        got[2] = got[2].view(np.uint64)
-        if held is not None:
-            got = [np.concatenate(x) for x in zip(held, got)]
-        choice, key = got[:2]
-        if not len(key):
-            continue
-        last = np.flatnonzero((key != key[-1]) | (choice != choice[-1]))
-        keep = int(last[-1]) + 1 if len(last) else 0
-        held = [x[keep:] for x in got]
-        if keep and (found := list(links(*(x[:keep] for x in got)))):
-            yield frame(found)
-    if held is not None and (found := list(links(*held))):
-        yield frame(found)
+    def run(batches):
+        held, rows = [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            rows += batch.num_rows
+            if rows < at_once:
+                continue
+            table = pa.Table.from_batches(held)
+            same = np.ones(rows, bool)  # the last group may go on in the next batch
+            for k in range(keys):
+                x = table.column(k).to_numpy()
+                same &= x == x[-1]
+            last = int(np.argmax(same))
+            if last:
+                yield links(table.slice(0, last))
+                held, rows = table.slice(last).combine_chunks().to_batches(), rows - last
+        if held:
+            yield links(pa.Table.from_batches(held))
+
+    return run
+
+
+# ---- on tables
 
 
 def fingerprint_links(distinct: DataFrame) -> DataFrame:
-    """distinct(fp, rep), each fp once -> (a, b) of reps: a spanning forest of every group's links."""
-    keyed = distinct.select(
-        "fp",
-        "rep",
-        F.explode(
-            F.array(*[F.struct(F.lit(k).alias("choice"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for k, m in enumerate(_masks())])
-        ).alias("x"),
-    ).select("x.choice", "x.key", "fp", "rep")
+    """distinct(fp), each once -> (a, b): links that connect all fingerprints within ``RADIUS`` bits."""
+    choices = F.array(*[F.struct(F.lit(k).alias("choice"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for k, m in enumerate(_masks())])
+    keyed = distinct.select(F.explode(choices).alias("x"), "fp").select("x.choice", "x.key", F.lit(-1).alias("side"), F.col("fp").alias("node"), "fp")
     return (
         keyed.repartition("choice", "key")
         .sortWithinPartitions("choice", "key", "fp")
-        .mapInArrow(_compare, "a long, b long")
+        .mapInArrow(compare_groups(2, RADIUS), "a long, b long")
     )
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
     """(doc_id, fp, component_id) of every document: the smallest doc_id reachable by links of at most two bits."""
     marked = written(fingerprints(docs, id_col, text_col, words), "fingerprints")
-    distinct = written(marked.groupBy("fp").agg(F.min("doc_id").alias("rep")), "distinct")
-    parts = connected_components(fingerprint_links(distinct.where("rep IS NOT NULL")))
-    final = distinct.join(parts, distinct.rep == parts.node, "left").select(
-        "fp", F.coalesce("component", "rep").alias("component_id")
+    distinct = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+    parts = connected_components(fingerprint_links(distinct.select("fp")))
+    final = written(
+        distinct.join(parts, distinct.fp == parts.node, "left").select("fp", "least", F.coalesce("component", "fp").alias("part")), "parts"
     )
-    return marked.join(final, "fp").select("doc_id", "fp", "component_id")
-
-
-def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each component stays: the one whose id is the component's. Columns are the input's.
-
-    Documents with a null id stay. Of rows that repeat an id all stay, as ids name documents.
-    """
-    found = near_duplicates(docs, id_col, text_col)
-    gone = found.where("doc_id != component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+    least = final.groupBy("part").agg(F.min("least").alias("component_id"))
+    return marked.join(final.join(least, "part").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
 def op5_simhash(spark, sf_dir: str) -> DataFrame:
