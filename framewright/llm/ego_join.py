@@ -3,18 +3,20 @@
 Cosine of at least ``COSINE`` between unit vectors is a distance of at most eps = sqrt(2 - 2 COSINE). Vectors are
 projected on leading principal dimensions (from a bounded sample; any orthonormal basis gives the same links, as a
 projection never lengthens a distance), and sorted by label and grid cell of side eps. That order is cut into sequence
-intervals ("runs") of at most ``RUN`` vectors. Pairs of runs whose bounding boxes are farther apart than eps are
-skipped; the others are joined recursively: halves whose boxes are too far apart are dropped, and what is left at
-``LEAF`` vectors is compared exactly, in double precision.
+intervals. The join goes down a tree of intervals, ``FAN`` to a node: a pair of nodes whose bounding boxes are farther
+apart than eps is dropped with all below it, any other gives its children's pairs. The tree's leaves are blocks of at
+most ``BYTES``; a task holds one block, streams up to ``PARTNERS`` others, and goes on recursively inside each pair, by
+halves, down to ``LEAF`` vectors, which are compared exactly, in double precision.
 
-Equal vectors of a label are one class before anything is compared, so a group of copies costs one row. A task holds
-one run, streams its partners, and returns per class how many vectors it is linked with and, for reachability, at
-most one edge a vector and leaf; pairs themselves are not written.
+Equal vectors of a label are one class before anything is compared, so a group of copies costs one row. A task returns
+per class how many vectors it is linked with and, for reachability, at most one edge a vector and leaf; pairs
+themselves are not written.
 
 Nulls and edge cases: vectors that are null, empty, zero or hold null or non-finite components, and vectors with a
 null label or a null vec_id, link with nothing; vectors of different lengths do not link. Such rows are returned with
-0 links, themselves as component, and kept. Rows that repeat a vec_id are vectors of their own and share a node for
-reachability. An empty table gives an empty table; other columns are ignored.
+0 links. Rows that repeat a vec_id are vectors of their own, and what one of them reaches the id reaches: the nodes
+are ids, so all rows of an id have one component. A row with a null id is its own and kept. An empty table gives an
+empty table; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,18 +27,24 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.components import connected_components
 from ..sources.tables import written
 from .common import pieces
-from ..operators.components import connected_components
 
 COSINE = 0.93
-RUN, LEAF = 2048, 256
+LEAF = 256
+BYTES = 1 << 25
+FAN, PARTNERS = 16, 8
 LEADING = 6
 SAMPLE = 4096
-SALTS = 8
+
+
+def block_rows(dim: int) -> int:
+    """Vectors of a block."""
+    return max(LEAF, BYTES // (8 * max(1, dim)))
 
 
 def matrices(column: pa.Array):
@@ -119,7 +127,7 @@ def _labels(links: np.ndarray, na: np.ndarray, nb: np.ndarray):
 
 
 def _compare(bases: dict, eps: float, cosine: float):
-    """Rows (a, g, side, b, cid, rep, copies, unit) sorted by the first four: side 0 is run a, side 1 its partners b."""
+    """Rows (a, g, side, b, cid, rep, copies, unit) sorted by the first four: side 0 is block a, side 1 its partners b."""
 
     def project(m):
         return m @ bases[m.shape[1]] if m.shape[1] in bases else m[:, :LEADING]
@@ -132,7 +140,7 @@ def _compare(bases: dict, eps: float, cosine: float):
 
     def run(batches):
         own = None
-        for (a, _, side, b), part in pieces(batches, 4, RUN):
+        for (a, _, side, b), part in pieces(batches, 4, 1 << 62):  # a block at a time
             unit = stacked(part.column("unit"))
             here = (unit, project(unit), *(part.column(c).to_numpy() for c in ("cid", "rep", "copies")))
             if side == 0:
@@ -154,19 +162,52 @@ def _compare(bases: dict, eps: float, cosine: float):
     return run
 
 
-def _number_runs(batches):
-    """Sorted rows (label, dim, ...) -> the same rows with a run number, at most RUN rows of one label and dim to a run."""
+def _number_blocks(batches):
+    """Sorted rows (label, dim, ...) -> the same rows with a block number; a block has rows of one label and dim."""
     part = TaskContext.get().partitionId() << 32
-    run, rows, last = -1, RUN, None
+    block, rows, last = -1, 0, None
     for batch in batches:
         labels, dims = batch.column("label").to_pylist(), batch.column("dim").to_pylist()
         numbers = np.zeros(batch.num_rows, np.int64)
         for k, key in enumerate(zip(labels, dims)):
-            if rows >= RUN or key != last:
-                run, rows, last = run + 1, 0, key
-            numbers[k] = part + run
+            if key != last or rows >= block_rows(key[1]):
+                block, rows, last = block + 1, 0, key
+            numbers[k] = part + block
             rows += 1
-        yield pa.RecordBatch.from_arrays([pa.array(numbers), *batch.columns], names=["run", *batch.schema.names])
+        yield pa.RecordBatch.from_arrays([pa.array(numbers), *batch.columns], names=["block", *batch.schema.names])
+
+
+_LOW, _HIGH = [f"lo{k}" for k in range(LEADING)], [f"hi{k}" for k in range(LEADING)]
+
+
+def block_pairs(boxes: DataFrame, eps: float) -> DataFrame:
+    """boxes(label, dim, block, lo.., hi..) -> (a, b) of blocks, a before or equal to b, not provably farther apart than eps.
+
+    Boxes are the nodes' of a tree over each label's sequence; pairs are followed from the top down.
+    """
+    key = ["label", "dim"]
+    place = F.row_number().over(Window.partitionBy(*key).orderBy("block")) - 1
+    leaves = written(boxes.withColumn("node", place.cast("long")), "leaves")
+    most = leaves.agg(F.max("node")).first()[0]
+    levels, wide = [leaves.drop("block")], most
+    while wide is not None and wide >= FAN:
+        up = levels[-1].withColumn("node", F.expr(f"node div {FAN}")).groupBy(*key, "node")
+        levels.append(written(up.agg(*[F.min(c).alias(c) for c in _LOW], *[F.max(c).alias(c) for c in _HIGH]), "level"))
+        wide //= FAN
+    gaps = [F.greatest(F.lit(0.0), F.col(f"s.lo{k}") - F.col(f"t.hi{k}"), F.col(f"t.lo{k}") - F.col(f"s.hi{k}")) for k in range(LEADING)]
+    near = sum((g * g for g in gaps[1:]), gaps[0] * gaps[0]) <= eps * eps
+    # above the top is one node for each label
+    pairs = levels[-1].select(*key).distinct().withColumn("a", F.lit(0).cast("long")).withColumn("b", F.lit(0).cast("long"))
+    for level in reversed(levels):
+        up = F.expr(f"node div {FAN}") if level is not levels[-1] else F.lit(0).cast("long")
+        s = level.withColumn("a", up).alias("s")
+        t = level.withColumn("b", up).alias("t")
+        down = pairs.join(s, [*key, "a"]).join(t, [*key, "b"]).where((F.col("s.node") <= F.col("t.node")) & near)
+        pairs = written(down.select(*key, F.col("s.node").alias("a"), F.col("t.node").alias("b")), "pairs")
+    named = lambda c: leaves.select(*key, F.col("node").alias(c), F.col("block").alias(f"block_{c}"))
+    return pairs.join(named("a"), [*key, "a"]).join(named("b"), [*key, "b"]).select(
+        F.col("block_a").alias("a"), F.col("block_b").alias("b"), F.expr(f"b div {PARTNERS}").alias("g")
+    )
 
 
 def near_vectors(vectors: DataFrame, id_col="vec_id", vector_col="embedding", label_col="label", cosine=COSINE) -> DataFrame:
@@ -178,9 +219,9 @@ def near_vectors(vectors: DataFrame, id_col="vec_id", vector_col="embedding", la
         ).mapInArrow(_prepare, "vec_id long, label string, dim int, digest binary, unit binary"),
         "vectors",
     )
+    live = rows.where("digest IS NOT NULL")
     classes = written(
-        rows.where("digest IS NOT NULL")
-        .groupBy("digest")
+        live.groupBy("digest")
         .agg(
             F.min("vec_id").alias("rep"),
             F.count(F.lit(1)).alias("copies"),
@@ -191,6 +232,7 @@ def near_vectors(vectors: DataFrame, id_col="vec_id", vector_col="embedding", la
         .withColumn("cid", F.monotonically_increasing_id()),
         "classes",
     )
+    # at most SAMPLE rows
     sample = [bytes(r["unit"]) for r in classes.orderBy(F.xxhash64("digest"), "digest").limit(SAMPLE).select("unit").collect()]
     bases: dict[int, np.ndarray] = {}
     for d in {len(x) // 8 for x in sample}:
@@ -215,33 +257,20 @@ def near_vectors(vectors: DataFrame, id_col="vec_id", vector_col="embedding", la
     kinds = "label string, dim int, cid long, rep long, copies long, unit binary, "
     order = ["label", "dim", *[F.floor(F.col(f"p{k}") / eps) for k in range(LEADING)], "cid"]
     n = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    runs = written(
+    blocks = written(
         slim.mapInArrow(project, kinds + leading)
         .repartitionByRange(n, *order)
         .sortWithinPartitions(*order)
-        .mapInArrow(_number_runs, "run long, " + kinds + leading),
-        "runs",
-    )
-    boxes = written(
-        runs.groupBy("run", "label", "dim").agg(
-            *[f(f"p{k}").alias(f"{name}{k}") for k in range(LEADING) for name, f in (("lo", F.min), ("hi", F.max))]
-        ),
-        "boxes",
+        .mapInArrow(_number_blocks, "block long, " + kinds + leading),
+        "blocks",
     )
-    one = boxes.withColumn("salt", F.pmod(F.xxhash64("run"), F.lit(SALTS))).alias("s")
-    other = boxes.withColumn("salt", F.explode(F.array(*[F.lit(k).cast("long") for k in range(SALTS)]))).alias("t")
-    gaps = [F.greatest(F.lit(0.0), F.col(f"s.lo{k}") - F.col(f"t.hi{k}"), F.col(f"t.lo{k}") - F.col(f"s.hi{k}")) for k in range(LEADING)]
-    near = sum((g * g for g in gaps[1:]), gaps[0] * gaps[0]) <= eps * eps
-    pairs = written(
-        one.join(other, ["label", "dim", "salt"])
-        .where((F.col("s.run") <= F.col("t.run")) & near)
-        .select(F.col("s.run").alias("a"), F.col("t.run").alias("b"))
-        .withColumn("g", F.pmod(F.xxhash64("b"), F.lit(SALTS))),
-        "pairs",
+    boxes = blocks.groupBy("label", "dim", "block").agg(
+        *[f(f"p{k}").alias(f"{name}{k}") for k in range(LEADING) for name, f in (("lo", F.min), ("hi", F.max))]
     )
+    pairs = written(block_pairs(boxes, eps), "block-pairs")
     what = ["cid", "rep", "copies", "unit"]
-    held = pairs.select("a", "g").distinct().join(runs, F.col("a") == F.col("run")).select("a", "g", F.lit(0).alias("side"), F.col("a").alias("b"), *what)
-    partners = pairs.join(runs, F.col("b") == F.col("run")).select("a", "g", F.lit(1).alias("side"), "b", *what)
+    held = pairs.select("a", "g").distinct().join(blocks, F.col("a") == F.col("block")).select("a", "g", F.lit(0).alias("side"), F.col("a").alias("b"), *what)
+    partners = pairs.join(blocks, F.col("b") == F.col("block")).select("a", "g", F.lit(1).alias("side"), "b", *what)
     found = written(
         held.unionByName(partners)
         .repartition("a", "g")
@@ -249,23 +278,19 @@ def near_vectors(vectors: DataFrame, id_col="vec_id", vector_col="embedding", la
         .mapInArrow(_compare(bases, eps, cosine), "kind int, x long, y long"),
         "links",
     )
-    parts = connected_components(found.where("kind = 1"), "x", "y")
     counts = found.where("kind = 0").groupBy(F.col("x").alias("cid")).agg(F.sum("y").alias("others"))
-    final = (
-        classes.join(counts, "cid", "left")
-        .join(parts, F.col("rep") == F.col("node"), "left")
-        .select("digest", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    )
-    return (
-        rows.select("vec_id", "digest")
-        .join(final, "digest", "left")
-        .select(
-            "vec_id",
-            F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-            F.coalesce("component_id", "vec_id").alias("component_id"),
-            F.coalesce(F.col("vec_id") == F.coalesce("component_id", "vec_id"), F.lit(True)).alias("kept"),
-        )
+    known = written(
+        classes.join(counts, "cid", "left").select("digest", "rep", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "known"
     )
+    counted = written(live.select("vec_id", "digest").join(known, "digest").select("vec_id", "rep", "n_links"), "counted")
+    # an id's rows may lie in several classes: ids are the nodes, and a copy's id is tied to its class's
+    edges = found.where("kind = 1").select("x", "y").unionByName(counted.where("vec_id != rep").select(F.col("vec_id").alias("x"), F.col("rep").alias("y")))
+    parts = connected_components(edges, "x", "y")
+    dead = rows.where("digest IS NULL AND vec_id IS NOT NULL").select("vec_id", F.lit(0).cast("long").alias("n_links"))
+    named = counted.select("vec_id", "n_links").unionByName(dead).join(parts, F.col("vec_id") == F.col("node"), "left")
+    named = named.select("vec_id", F.col("n_links").cast("long").alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"))
+    lone = rows.where("vec_id IS NULL").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    return named.unionByName(lone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
 
 
 def op8_ego_join(spark, sf_dir: str) -> DataFrame:
@@ -273,19 +298,20 @@ def op8_ego_join(spark, sf_dir: str) -> DataFrame:
 
 
 SQL = f"""
-WITH RECURSIVE v AS (
-  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+WITH RECURSIVE e AS (SELECT row_number() OVER () AS r, vec_id, label, embedding FROM embeddings),
+v AS (
+  SELECT r, vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM e
   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 u AS (SELECT *, sqrt(list_inner_product(e, e)) AS norm FROM v),
 links AS (
-  SELECT a.vec_id AS x, b.vec_id AS y FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id
+  SELECT a.r, a.vec_id AS x, b.vec_id AS y FROM u a JOIN u b ON a.label = b.label AND a.r <> b.r
   WHERE len(a.e) = len(b.e) AND list_inner_product(a.e, b.e) / (a.norm * b.norm) >= {COSINE}),
 reach AS (
   SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
 SELECT e.vec_id, coalesce(n.n, 0) AS n_links, least(e.vec_id, coalesce(c.m, e.vec_id)) AS component_id,
-       e.vec_id <= coalesce(c.m, e.vec_id) AS kept
-FROM embeddings e LEFT JOIN (SELECT x, count(*) AS n FROM links GROUP BY x) n ON n.x = e.vec_id
+       coalesce(e.vec_id <= coalesce(c.m, e.vec_id), true) AS kept
+FROM e LEFT JOIN (SELECT r, count(*) AS n FROM links GROUP BY r) n ON n.r = e.r
 LEFT JOIN (SELECT x, min(y) AS m FROM reach GROUP BY x) c ON c.x = e.vec_id
 """

@@ -1,24 +1,28 @@
 """Exact top-k inner products by an impact-ordered, score-at-a-time index.
 
-Components become integers floor(SCALE x). A block of candidates is indexed by impact: postings (dimension, vector)
-fall into segments by magnitude, halving from the largest. Scores build up segment by segment in descending impact.
-What a candidate's unprocessed postings can still add to a query is at most |query| times the norm of its unprocessed
-part (Cauchy-Schwarz), so after each segment a candidate whose upper bound is under the k-th best score proven so far
-is out. A block stops only on that proof: when few candidates are possible members, these are rescored exactly in
-integers; otherwise the next segment is processed, down to the last, after which scores are exact anyway.
-
-Queries go in blocks of about ``QUERIES``, candidates in slots by a hash of their id; a task holds one block of
+Components become integers floor(SCALE x). A block of candidates is indexed by impact: the postings (dimension, vector,
+value) fall into segments by magnitude, halving from the largest; a segment has one posting list a dimension. Lists are
+processed segment by segment in descending impact, each posting being added to the accumulators of all queries still at
+work. What a candidate's unprocessed postings can add to a query is at most |query| times the norm of its unprocessed
+part (Cauchy-Schwarz), so after each segment a candidate whose upper bound is under the k-th best score proven so far is
+out. A query stops only on that proof: when few candidates are possible members, these are rescored exactly in integers;
+otherwise it goes on, down to the last segment, after which scores are exact anyway.
+
+Queries go in blocks of about ``QUERIES``, candidates in slots by a hash of their row; a task holds one block of
 queries and streams a slot's candidates in sub-blocks, so thresholds rise as it goes. Each task returns k rows a
 query, and a window over those gives the result.
 
-Nulls and edge cases: vectors that are null, empty or hold null or non-finite components take no part, nor do rows with
-a null id or components beyond 2**26 / SCALE, whose products leave a long's exact range; vectors of other lengths are
-no candidates. A row with the query's own id is no candidate; a query id that repeats is asked once, with the least of
-its vectors; candidate rows that repeat stay. Ties go to the smaller id. An empty table gives an empty table.
+Nulls and edge cases: vectors that are null, empty or hold null or non-finite components take no part, nor do rows with a
+null id; vectors of other lengths are no candidates. Finite components of any size take part: where products leave
+the range in which doubles are exact, scores come from integers instead (``exact_scores``), and a score beyond a
+long's range is returned as that range's end. Queries are rows: each row of a repeated id is asked by itself, and only
+that row is no candidate for it. Ties go to the smaller id. An empty table gives an empty table.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -31,79 +35,113 @@ from .ego_join import matrices
 SCALE = 256
 K = 5
 EVERY = 50
-QUERIES, BLOCK, TILE = 2048, 4096, 512
+QUERIES, BLOCK, TILE = 16384, 4096, 256
 SLOT = 1 << 17
-LIMIT = 1 << 26
+TOP = (1 << 63) - 1
 
 
 def _integers(batches):
-    """(id, vector) -> (id, dim, integers as bytes) of the rows that take part."""
+    """(id, vector) -> (id, dim, wide, integers as doubles) of the rows that take part.
+
+    wide 0: sums of products of such rows are exact in doubles. 1: they may not be. 2: SCALE x itself is no finite
+    double, and x is kept.
+    """
     for batch in batches:
         ids = batch.column(0).to_pylist()
-        keep, dims, out = [], [], []
+        keep, dims, wide, out = [], [], [], []
         for rows, m in matrices(batch.column(1)):
+            finite = np.isfinite(m).all(1)
             with np.errstate(over="ignore", invalid="ignore"):
                 q = np.floor(SCALE * m)
-                ok = (np.abs(q) <= LIMIT).all(1)  # false for NaN, too
-            for r, x in zip(rows[ok].tolist(), q[ok].astype("<i4")):
-                if ids[r] is not None:
-                    keep.append(ids[r])
-                    dims.append(len(x))
-                    out.append(x.tobytes())
+            top = np.abs(q).max(1)
+            kind = np.where(top <= math.isqrt((1 << 53) // m.shape[1]), 0, np.where(np.isfinite(top), 1, 2))
+            for r in np.flatnonzero(finite).tolist():
+                if ids[rows[r]] is not None:
+                    keep.append(ids[rows[r]])
+                    dims.append(m.shape[1])
+                    wide.append(int(kind[r]))
+                    out.append((m[r] if kind[r] == 2 else q[r]).astype("<f8").tobytes())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(keep, pa.int64()), pa.array(dims, pa.int32()), pa.array(out, pa.binary())], names=["vec_id", "dim", "q"]
+            [pa.array(keep, pa.int64()), pa.array(dims, pa.int32()), pa.array(wide, pa.int32()), pa.array(out, pa.binary())],
+            names=["vec_id", "dim", "wide", "q"],
         )
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    raw = column.to_pylist()
-    return np.frombuffer(b"".join(raw), "<i4").reshape(len(raw), -1).astype(np.int64)
+def whole(values: np.ndarray, wide: int) -> list[int]:
+    """A row's integers, of any size."""
+    if wide < 2:
+        return [int(x) for x in values]
+    with np.errstate(over="ignore"):
+        return [math.floor(SCALE * x) if math.isfinite(SCALE * x) else int(x) * SCALE for x in values.tolist()]
+
+
+def exact_scores(a: np.ndarray, wide_a: np.ndarray, b: np.ndarray, wide_b: np.ndarray) -> np.ndarray:
+    """(rows of a, rows of b) scores by integers, kept within a long's range."""
+    if not wide_a.any() and not wide_b.any():
+        return (a @ b.T).astype(np.int64)  # exact in doubles
+    if max(wide_a.max(initial=0), wide_b.max(initial=0)) < 2 and np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * a.shape[1] < 2.0**62:
+        return a.astype(np.int64) @ b.T.astype(np.int64)
+    x, y = ([whole(v, w) for v, w in zip(m, wide)] for m, wide in ((a, wide_a), (b, wide_b)))
+    return np.array([[max(-TOP, min(TOP, sum(map(int.__mul__, u, v)))) for v in y] for u in x], np.int64).reshape(len(a), len(b))
 
 
 class Segments:
-    """A block of candidates, its postings in segments of descending impact."""
-
-    def __init__(self, ids: np.ndarray, values: np.ndarray):
-        order = np.argsort(ids, kind="stable")
-        self.ids, self.values = ids[order], values[order]
-        size = np.abs(self.values)
-        self.parts, self.rest = [], []
-        top, left = int(size.max(initial=0)), size > 0
+    """A block of candidates (not wide), its postings in segments of descending impact."""
+
+    def __init__(self, rows: np.ndarray, values: np.ndarray):
+        self.rows, self.values = rows, values
+        size = np.abs(values)
+        #: a segment: posting lists (dimension, vectors, values)
+        self.segments: list[list[tuple[int, np.ndarray, np.ndarray]]] = []
+        self.rest: list[np.ndarray] = []
+        top, left = float(size.max(initial=0)), size > 0
         while left.any():
-            top //= 2
+            top = top // 2
             now = left & (size > top)
-            left = left & ~now
+            left &= ~now
             if now.any():
-                self.parts.append(np.where(now, self.values, 0).astype(np.float64))
-                self.rest.append(np.sqrt((np.where(left, self.values, 0).astype(np.float64) ** 2).sum(1)))
-        if not self.parts:
-            self.parts, self.rest = [np.zeros(self.values.shape)], [np.zeros(len(ids))]
+                dims, vectors = np.nonzero(now.T)
+                cuts = np.flatnonzero(np.diff(dims)) + 1
+                lists = zip(dims[np.r_[0, cuts]].tolist(), np.split(vectors, cuts))
+                self.segments.append([(d, v, values[v, d]) for d, v in lists])
+                self.rest.append(np.sqrt((np.where(left, values, 0) ** 2).sum(1)))
+        self.postings = [sum(len(v) for _, v, _ in s) for s in self.segments]
 
 
-def search(block: Segments, qids: np.ndarray, queries: np.ndarray, floor: np.ndarray, k: int = K):
-    """(query position, candidate position, exact score) of every possible member of a query's k best.
+def search(block: Segments, rows: np.ndarray, queries: np.ndarray, floor: np.ndarray, k: int = K):
+    """(query position, candidate position) of every possible member of a query's k best, and the postings added up.
 
-    floor: for each query a score that k candidates of other blocks are known to reach, or minus infinity.
+    floor: for each query a score that k candidates of other blocks are known to reach, or minus infinity. No query is wide.
     """
-    exact = int(np.abs(queries).max(initial=0)) * int(np.abs(block.values).max(initial=0)) * queries.shape[1] < 1 << 52
-    q = queries.astype(np.float64)
-    norm = np.sqrt((q**2).sum(1))
-    own = block.ids[None, :] == qids[:, None]
-    score = np.zeros((len(q), len(block.ids)))
-    for n, (part, rest) in enumerate(zip(block.parts, block.rest)):
-        score += q @ part.T
-        score[own] = -np.inf
-        slack = norm[:, None] * rest[None, :] * (1 + 1e-9) + 1e-6 * (1 + np.abs(norm[:, None])) * (not exact)
-        bar = floor
-        if len(block.ids) > k:
-            proven = np.partition(score - slack, -k, axis=1)[:, -k]
-            bar = np.maximum(floor, proven)
-        possible = score + slack >= bar[:, None]
-        if n + 1 == len(block.parts) or possible.sum() <= 4 * k * len(q):
-            break
-    possible &= ~own
-    i, j = np.nonzero(possible)
-    return i, j, np.einsum("nd,nd->n", queries[i], block.values[j])
+    n = len(block.rows)
+    work, found_i, found_j = 0, [], []
+    at = np.arange(len(queries))
+    norm = np.sqrt((queries**2).sum(1))
+    score = np.zeros((n, len(queries)))
+    score[block.rows[:, None] == rows[None, :]] = -np.inf
+    last = len(block.segments) - 1
+    if last < 0:  # nothing but zeros
+        i, j = np.nonzero((score >= floor[None, :]).T & (score.T == 0))
+        return i, j, 0
+    for s, (lists, rest) in enumerate(zip(block.segments, block.rest)):
+        q = queries[at].T
+        for d, vectors, values in lists:
+            score[vectors] += values[:, None] * q[d]
+        work += block.postings[s] * len(at)
+        slack = rest[:, None] * (norm[at] * (1 + 1e-9))[None, :]
+        bar = floor[at]
+        if n > k:
+            bar = np.maximum(bar, np.partition(score - slack, n - k, axis=0)[n - k])
+        possible = (score + slack >= bar[None, :]) & (score > -np.inf)
+        stop = np.ones(len(at), bool) if s == last else possible.sum(0) <= 4 * k
+        if stop.any():
+            j, i = np.nonzero(possible[:, stop])
+            found_i.append(at[stop][i])
+            found_j.append(j)
+            if stop.all():
+                break
+            at, score = at[~stop], np.ascontiguousarray(score[:, ~stop])
+    return np.concatenate(found_i), np.concatenate(found_j), work
 
 
 def _best(i, ids, scores, k):
@@ -115,68 +153,92 @@ def _best(i, ids, scores, k):
     return i[rank < k], ids[rank < k], scores[rank < k]
 
 
+def _columns(part: pa.RecordBatch):
+    raw = part.column("q").to_pylist()
+    values = np.frombuffer(b"".join(raw), "<f8").reshape(len(raw), -1)
+    return part.column("row").to_numpy(), part.column("vec_id").to_numpy(), part.column("wide").to_numpy(), values
+
+
+def _block(best, queries, candidates, k: int):
+    """The queries' k best so far, after a block of candidates. queries, candidates: (rows, ids, wide, values)."""
+    qrows, _, qwide, q = queries
+    rows, ids, wide, c = candidates
+    floor = np.full(len(qrows), -np.inf)
+    full = np.bincount(best[0], minlength=len(qrows)) >= k
+    low = np.full(len(qrows), TOP)
+    np.minimum.at(low, best[0], best[2])
+    floor[full] = np.nextafter(low[full].astype(float), -np.inf)
+    got = [best]
+    plain, asked = np.flatnonzero(wide == 0), np.flatnonzero(qwide == 0)
+    block = Segments(rows[plain], c[plain])
+    for t in range(0, len(asked), TILE):
+        tile = asked[t : t + TILE]
+        i, j, _ = search(block, qrows[tile], q[tile], floor[tile], k)
+        scores = np.einsum("nd,nd->n", q[tile[i]], block.values[j]).astype(np.int64)
+        got.append((tile[i], ids[plain[j]], scores))
+    # pairs with a wide side, by integers
+    for some, others in ((np.flatnonzero(qwide), np.arange(len(rows))), (asked, np.flatnonzero(wide))):
+        for t in range(0, len(some), TILE):
+            tile = some[t : t + TILE]
+            if len(others):
+                scores = exact_scores(q[tile], qwide[tile], c[others], wide[others])
+                i, j = np.nonzero(qrows[tile][:, None] != rows[others][None, :])
+                got.append((tile[i], ids[others[j]], scores[i, j]))
+    return _best(*(np.concatenate([g[x] for g in got]) for x in range(3)), k)
+
+
 def _answer(k: int):
-    """Rows (block, dim, slot, side, vec_id, q) sorted by the first four: side 0 queries, side 1 candidates."""
+    """Rows (block, dim, slot, side, row, vec_id, wide, q) sorted by the first four: side 0 queries, side 1 candidates."""
 
-    def out(qids, best):
+    def out(queries, best):
         i, ids, scores = best
-        return pa.RecordBatch.from_arrays([pa.array(qids[i]), pa.array(ids), pa.array(scores)], names=["query_id", "vec_id", "score"])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(queries[0][i]), pa.array(queries[1][i]), pa.array(ids), pa.array(scores)], names=["row", "query_id", "vec_id", "score"]
+        )
 
     def run(batches):
-        now, held, best = None, [], None
-        qids = queries = None
+        now, held, queries, best = None, [], None, None
         for (b, d, s, side), part in pieces(batches, 4, BLOCK):
             if (b, d, s) != now:
                 if best is not None and len(best[0]):
-                    yield out(qids, best)
-                now, held, best, qids = (b, d, s), [], None, None
+                    yield out(queries, best)
+                now, held, queries, best = (b, d, s), [], None, None
             if side == 0:
-                held.append((part.column("vec_id").to_numpy(), _matrix(part.column("q"))))
-                continue
-            if not held:
-                continue
-            if qids is None:
-                qids, queries = np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held])
-                best = (np.zeros(0, np.int64),) * 3
-            block = Segments(part.column("vec_id").to_numpy(), _matrix(part.column("q")))
-            floor = np.full(len(qids), -np.inf)
-            full = np.bincount(best[0], minlength=len(qids)) >= k
-            low = np.full(len(qids), np.inf)
-            np.minimum.at(low, best[0], best[2])
-            floor[full] = low[full]
-            got = [best]
-            for t in range(0, len(qids), TILE):
-                i, j, x = search(block, qids[t : t + TILE], queries[t : t + TILE], floor[t : t + TILE], k)
-                got.append((i + t, block.ids[j], x))
-            best = _best(*(np.concatenate([g[c] for g in got]) for c in range(3)), k)
+                held.append(_columns(part))
+            elif held:
+                if queries is None:
+                    queries = tuple(np.concatenate(x) for x in zip(*held))
+                    best = (np.zeros(0, np.int64),) * 3
+                best = _block(best, queries, _columns(part), k)
         if best is not None and len(best[0]):
-            yield out(qids, best)
+            yield out(queries, best)
 
     return run
 
 
 def top_k(vectors: DataFrame, is_query, id_col="vec_id", vector_col="embedding", k: int = K) -> DataFrame:
-    """(query_id, rank, vec_id, score): each query's k best candidates by integer inner product."""
+    """(query_id, rank, vec_id, score): each query row's k best candidates by integer inner product."""
     rows = written(
-        vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v")).mapInArrow(_integers, "vec_id long, dim int, q binary"),
+        vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v"))
+        .mapInArrow(_integers, "vec_id long, dim int, wide int, q binary")
+        .withColumn("row", F.monotonically_increasing_id()),
         "integers",
     )
-    asked = rows.where(is_query).groupBy("vec_id").agg(F.min(F.struct("dim", "q")).alias("x")).select("vec_id", "x.dim", "x.q")
     n, nq = rows.agg(F.count(F.lit(1)), F.count_if(is_query)).first()
     blocks = max(1, -(-nq // QUERIES))
     slots = max(rows.sparkSession.sparkContext.defaultParallelism, -(-n // SLOT))
     every = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
-    queries = asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")).withColumn("slot", every(slots)).withColumn("side", F.lit(0))
-    candidates = rows.withColumn("slot", F.pmod(F.xxhash64("vec_id", "q"), F.lit(slots)).cast("int")).withColumn("block", every(blocks)).withColumn("side", F.lit(1))
-    names = ["block", "dim", "slot", "side", "vec_id", "q"]
+    queries = rows.where(is_query).withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")).withColumn("slot", every(slots)).withColumn("side", F.lit(0))
+    candidates = rows.withColumn("slot", F.pmod(F.xxhash64("row"), F.lit(slots)).cast("int")).withColumn("block", every(blocks)).withColumn("side", F.lit(1))
+    names = ["block", "dim", "slot", "side", "row", "vec_id", "wide", "q"]
     found = (
         queries.select(*names)
         .unionByName(candidates.select(*names))
         .repartition("block", "dim", "slot")
         .sortWithinPartitions("block", "dim", "slot", "side", "vec_id")
-        .mapInArrow(_answer(k), "query_id long, vec_id long, score long")
+        .mapInArrow(_answer(k), "row long, query_id long, vec_id long, score long")
     )
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("row", "query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
@@ -185,13 +247,14 @@ def op9_topk(spark, sf_dir: str) -> DataFrame:
 
 
 SQL = f"""
-WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor({SCALE}::DOUBLE * CAST(x AS DOUBLE))) AS q FROM embeddings
+WITH e AS (SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings),
+v AS (
+  SELECT r, vec_id, list_transform(embedding, lambda x: floor({SCALE}::DOUBLE * CAST(x AS DOUBLE))) AS q FROM e
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
-  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
-  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % {EVERY} = 0),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+  SELECT a.r, a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.r <> b.r AND len(a.q) = len(b.q) WHERE a.vec_id % {EVERY} = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS n FROM s)
 SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= {K}
 """
