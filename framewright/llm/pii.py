@@ -3,7 +3,8 @@
 The network is trained in numpy from labelled spans: seeded examples that put addresses, numbers and look-alikes in
 many written forms into carrier text (``examples``). It depends on the seed alone, so it is trained once a process.
 
-Every span needs a digit or an at sign, a hard constraint of the tag lattice. Text is covered by overlapping windows
+Every span needs a digit or an at sign, a hard constraint of the decoder's lattice: its states say of an open span
+whether it has had one (``_lattice``), and a span can't end before. Text is covered by overlapping windows
 (``LENGTH`` characters, every ``STRIDE``); a window without a digit or at sign can only decode to 'outside' and is
 not computed, which changes no result. Windows are decoded by Viterbi in large batches. Then each text's spans are
 reconciled globally: spans that a window's edge cuts are joined with what the neighbouring window saw, and of
@@ -30,13 +31,15 @@ from pyspark.sql import functions as F
 from .common import text_of
 
 KINDS = ("email", "ip", "card", "phone")
-LENGTH, STRIDE, HIDDEN, STEPS, BATCH = 128, 64, 12, 240, 48
-#: Length of a training example.
-LEARN = 64
+#: A training example is as long as a window.
+LENGTH, STRIDE, HIDDEN, STEPS, BATCH = 64, 32, 12, 800, 48
 #: Fixed alphabet: padding, digit, upper case, white space, other, then these by themselves.
 OWN = "abcdefghijklmnopqrstuvwxyz@.+-()[]:/_,%\"=#"
 SYMBOLS = 5 + len(OWN)
 TAGS = 1 + 2 * len(KINDS)  # outside, then begin and inside of each kind
+#: Decoder states: outside, then for each kind begin and inside without a trigger so far, begin and inside with one.
+STATE_TAGS = np.array([0] + [t for k in range(len(KINDS)) for t in (1 + 2 * k, 2 + 2 * k) * 2])
+NEVER = np.float32(-1e6)
 
 
 # ---- base patterns -------------------------------------------------------------------------------------------------
@@ -247,12 +250,12 @@ def trained(seed: int = 11, steps: int = STEPS) -> dict:
     }
     p["wx"][:, :, HIDDEN : 2 * HIDDEN] += 1.0  # remember at first
     m, v = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2))
-    xs, ys = examples(2400, seed, LEARN)
+    xs, ys = examples(2400, seed)
     for step in range(1, steps + 1):
         rows = rng.integers(0, len(xs), BATCH)
         e, cache = _run(p, xs[rows], True)
         de, dt = _crf(e, p["trans"] + _allowed(), ys[rows])
-        g = _backward(p, cache, de / LEARN * 8) | {"trans": dt / LEARN * 8}
+        g = _backward(p, cache, de / LENGTH * 8) | {"trans": dt / LENGTH * 8}
         rate = 0.02 * min(1, 2 * (1 - step / (steps + 1)))
         for k in p:
             m[k] = 0.9 * m[k] + 0.1 * g[k]
@@ -262,22 +265,63 @@ def trained(seed: int = 11, steps: int = STEPS) -> dict:
     return {k: x.astype(np.float32) for k, x in p.items()}
 
 
+def _lattice(trans: np.ndarray) -> np.ndarray:
+    """(2, states, states): scores of steps onto a character that is no trigger (0) or one (1), ``NEVER`` where not allowed.
+
+    An open span without a trigger goes on inside its kind only; it may end once it has had one.
+    """
+    out = np.full((2, len(STATE_TAGS), len(STATE_TAGS)), NEVER, np.float32)
+    first = range(1, len(STATE_TAGS), 4)
+    closed = [0] + [k + x for k in first for x in (2, 3)]
+    for trigger in (0, 1):
+        for a in closed:
+            out[trigger, a, 0] = trans[0 if a == 0 else STATE_TAGS[a], 0]
+            for k in first:
+                b = k + 2 * trigger
+                out[trigger, a, b] = trans[STATE_TAGS[a], STATE_TAGS[b]]
+        for k in first:
+            for a in (k, k + 1):  # none so far
+                b = k + 1 + 2 * trigger
+                out[trigger, a, b] = trans[STATE_TAGS[a], STATE_TAGS[b]]
+            for a in (k + 2, k + 3):
+                out[trigger, a, k + 3] = trans[STATE_TAGS[a], STATE_TAGS[k + 3]]
+    return out
+
+
+TRIGGERS = (1, 5 + OWN.index("@"))
+
+
+def viterbi(e: np.ndarray, trans: np.ndarray, trigger: np.ndarray) -> np.ndarray:
+    """Best tags (n, t) for emissions (n, t, TAGS), under the lattice."""
+    n, t, _ = e.shape
+    steps = _lattice(trans)
+    own = e[:, :, STATE_TAGS]
+    first = np.arange(1, len(STATE_TAGS), 4)
+    score = np.full((n, len(STATE_TAGS)), NEVER, np.float32)
+    score[:, 0] = own[:, 0, 0]
+    for k in first:
+        score[:, k] = np.where(trigger[:, 0], NEVER, own[:, 0, k])
+        score[:, k + 2] = np.where(trigger[:, 0], own[:, 0, k + 2], NEVER)
+    back = np.zeros((t, n, len(STATE_TAGS)), np.int8)
+    for s in range(1, t):
+        every = score[:, :, None] + steps[trigger[:, s].astype(int)]
+        back[s] = every.argmax(1)
+        score = np.take_along_axis(every, back[s][:, None, :].astype(int), 1)[:, 0] + own[:, s]
+    for k in first:
+        score[:, [k, k + 1]] = NEVER  # no span ends without a trigger
+    state = np.zeros((n, t), np.int64)
+    state[:, -1] = score.argmax(1)
+    rows = np.arange(n)
+    for s in range(t - 1, 0, -1):
+        state[:, s - 1] = back[s, rows, state[:, s]]
+    return STATE_TAGS[state]
+
+
 def decode(p: dict, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Best tags of windows (n, t) by Viterbi, and each character's lead over 'outside'. Padding is outside."""
     e, _ = _run(p, x)
     e[x == 0] = np.r_[0, np.full(TAGS - 1, -1e4)].astype(np.float32)
-    n, t, k = e.shape
-    e[:, 0, 2::2] -= 1e4
-    score, back = e[:, 0], np.zeros((t, n, k), np.int8)
-    for s in range(1, t):
-        all_ = score[:, :, None] + p["trans"]
-        back[s] = all_.argmax(1)
-        score = all_.max(1) + e[:, s]
-    tags = np.zeros((n, t), np.int64)
-    tags[:, -1] = score.argmax(1)
-    rows = np.arange(n)
-    for s in range(t - 1, 0, -1):
-        tags[:, s - 1] = back[s, rows, tags[:, s]]
+    tags = viterbi(e, p["trans"], np.isin(x, TRIGGERS))
     return tags, np.take_along_axis(e, tags[:, :, None], 2)[:, :, 0] - e[:, :, 0]
 
 
