@@ -80,3 +80,8 @@ def paired_blocks(members: DataFrame, key: str, weight: str, row: str, cap: int
         .withColumn("side", F.when(F.col("__b") > F.col("__o"), 1).otherwise(0))
         .drop("__g", "__b", "__o")
     )
+
+
+def release(spark) -> None:
+    """Have the driver's JVM collect its garbage now, so that Spark's cleaner deletes the shuffle files of jobs that are over."""
+    spark.sparkContext._jvm.System.gc()
