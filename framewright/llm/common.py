@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import gc
+import time
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -83,5 +86,8 @@ def paired_blocks(members: DataFrame, key: str, weight: str, row: str, cap: int
 
 
 def release(spark) -> None:
-    """Have the driver's JVM collect its garbage now, so that Spark's cleaner deletes the shuffle files of jobs that are over."""
-    spark.sparkContext._jvm.System.gc()
+    """Collect the driver's garbage now, Python's first, so that Spark's cleaner deletes the shuffle files of jobs that are over."""
+    gc.collect()
+    for _ in range(3):  # references from Python's side are let go between collections
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
