@@ -58,22 +58,11 @@ def dropped(df: DataFrame) -> None:
 
 
 @contextmanager
-def scratch():
-    """Tables written inside are deleted at the end: what is to stay is written after leaving, or by ``kept``."""
+def recorded():
+    """Gives a list that takes up the tables written inside, for whoever is to delete them."""
     held: list = []
     token = _SCRATCH.set(held)
     try:
-        yield
-    finally:
-        _SCRATCH.reset(token)
-        for df in held:
-            dropped(df)
-
-
-def kept(df: DataFrame, name: str) -> DataFrame:
-    """``written``, and not deleted with the scratch tables around it."""
-    token = _SCRATCH.set(None)
-    try:
-        return written(df, name)
+        yield held
     finally:
         _SCRATCH.reset(token)
