@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
 from ..sources.tables import written
-from .common import paired_blocks, pieces, text_of
+from .common import paired_blocks, pieces, release, text_of
 from .simhash import SEED, compare_groups, majority, words_of
 
 SHINGLE = 5
@@ -46,7 +46,7 @@ COMMON = 1 << 16
 COUNTED = 1 << 20
 #: Shingles in a block of texts that are compared exactly.
 CHECKED = 1 << 21
-CACHE = 1 << 20
+CACHE = 1 << 18
 
 
 class _Words(dict):
@@ -158,6 +158,7 @@ def candidates(reps: DataFrame) -> DataFrame:
     after = LIKE[1] * F.col("n") >= LIKE[0] * F.lead("n").over(by)
     entries = reps.select("row", "n", F.explode("keys").alias("key"))
     shared = written(entries.withColumn("before", before).withColumn("after", after).where("before OR after").select("key", "row"), "shared")
+    release(shared.sparkSession)
     members = shared.join(reps.select("row", "fp"), "row").withColumn("one", F.lit(1))
     keyed = paired_blocks(members, "key", "one", "row").withColumn("side", F.when(F.col("i") == F.col("j"), -1).otherwise(F.col("side")))
     found = (
@@ -212,6 +213,7 @@ def components(rows: DataFrame, text_col: str = "text") -> DataFrame:
     reps = written(found.groupBy("digest").agg(F.min("row").alias("rep")), "sets")
     firsts = found.join(reps.select(F.col("rep").alias("row")), "row", "left_semi")
     trees = candidates(firsts)
+    release(rows.sparkSession)
     members = trees.join(found.select("row", "n"), F.col("node") == F.col("row")).select("component", "row", "n")
     blocks = paired_blocks(members, "component", "n", "row", CHECKED)
     links = (
@@ -233,4 +235,5 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     named = components(rows, text_col).join(rows.select("__row", F.col(id_col).alias("id")), F.col("row") == F.col("__row"))
     choice = F.struct(F.col("id").isNull().alias("none"), "id", "row")
     chosen = written(named.groupBy("component").agg(F.min(choice).alias("x")).select(F.col("x.row").alias("__kept")), "kept")
-    return rows.join(chosen, rows["__row"] == chosen["__kept"], "left_semi").select(*docs.columns)
+    # always by shuffle: whether the numbers are few enough to be sent whole depends on the corpus
+    return rows.join(chosen.hint("shuffle_hash"), rows["__row"] == chosen["__kept"], "left_semi").select(*docs.columns)
