@@ -43,13 +43,13 @@ SCALE = 1024
 #: Zero vectors in every mean, so that a few odd words decide nothing.
 PAD = 20
 #: The training sample's bound: rows of class 0 and of class 1.
-PER_CLASS = (6000, 3000)
+PER_CLASS = (4000, 2000)
 EPOCHS, BATCH = 8, 32
 THRESHOLD = 0.7
 AROUND = " \t.,;:!?\"'()[]{}<>|%&$#*+=/\\~_^`-«»„“”‘’…"
 #: Look-alike digits and signs inside a word, read as letters.
 LOOKALIKE = str.maketrans("013457@$", "oieastas")
-CACHE = 1 << 20
+CACHE = 1 << 18
 
 
 def tokens_of(text: str) -> list[str]:
@@ -205,6 +205,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
     )
     # the order must not depend on the run
     found = sorted(zip(rows["y"].to_pylist(), rows["at"].to_pylist(), rows["weight"].to_pylist()))
+    del rows
     prior = counts[1] / (counts[0] + counts[1])
     bags_ = [(np.frombuffer(at, np.uint16), np.frombuffer(weight, np.float16)) for _, at, weight in found]
     return fit(bags_, np.array([y for y, _, _ in found], np.int64), prior)
