@@ -36,7 +36,7 @@ BANDS = 8
 SEED = 42
 #: Groups up to this size are compared pair by pair, the lanes being pairs.
 SMALL = 16
-TILE, WORDS = 64, 64
+TILE, WORDS = 64, 32
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -120,15 +120,15 @@ def _add3(a, b, c):
     return u ^ c, (a & b) | (u & c)
 
 
-def far_lanes(plane, planes: int, shape: tuple, radius: int) -> np.ndarray:
+def far_lanes(plane, planes: int, shape: tuple, radius: int, over: np.ndarray | None = None) -> np.ndarray:
     """Words of lanes; a bit is one if more than ``radius`` of the planes have a one there. plane(k): words of plane k.
 
     Counters of k bits start at 2**k - 1 - radius, so that what is over the radius overflows. Eight planes go through a
-    tree of carry-save adders at once where there are three counters or more.
+    tree of carry-save adders at once where there are three counters or more. over: lanes that count as far anyway.
     """
     k = max(1, int(radius).bit_length())
     count = [np.full(shape, FULL if (1 << k) - 1 - radius >> t & 1 else 0, np.uint64) for t in range(k)]
-    over = np.zeros(shape, np.uint64)
+    over = np.zeros(shape, np.uint64) if over is None else over
 
     def add(bit, level):
         for t in range(level, k):
@@ -178,10 +178,13 @@ def _forest(octets: np.ndarray, radius: int, sides: np.ndarray | None):
         flips = np.where(bits[rows].T[:, :, None], FULL, np.uint64(0))
         for w in range(0, p.shape[1], WORDS):
             q = p[:, w : w + WORDS]
-            far = far_lanes(lambda k: q[k] ^ flips[k], len(q), (len(rows), q.shape[1]), radius)
+            here = lanes[w * 64 : (w + WORDS) * 64]
+            done = np.ones((len(rows), q.shape[1] * 64), np.uint8)  # padding, and each pair's second look
+            done[:, : len(here)] = here <= rows[:, None]
+            done = np.packbits(done, axis=1, bitorder="little").view("<u8")
+            far = far_lanes(lambda k: q[k] ^ flips[k], len(q), done.shape, radius, done)
             if (far == FULL).all():
                 continue
-            here = lanes[w * 64 : (w + WORDS) * 64]
             near = _near(far, len(here))
             for r in np.flatnonzero(near.any(1)):
                 i = rows[r]

@@ -79,7 +79,7 @@ def exact_scores(a: np.ndarray, wide_a: np.ndarray, b: np.ndarray, wide_b: np.nd
     """(rows of a, rows of b) scores by integers, kept within a long's range."""
     if not wide_a.any() and not wide_b.any():
         return (a @ b.T).astype(np.int64)  # exact in doubles
-    if max(wide_a.max(initial=0), wide_b.max(initial=0)) < 2 and np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * a.shape[1] < 2.0**62:
+    if max(wide_a.max(initial=0), wide_b.max(initial=0)) < 2 and float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1] < 2.0**62:
         return a.astype(np.int64) @ b.T.astype(np.int64)
     x, y = ([whole(v, w) for v, w in zip(m, wide)] for m, wide in ((a, wide_a), (b, wide_b)))
     return np.array([[max(-TOP, min(TOP, sum(map(int.__mul__, u, v)))) for v in y] for u in x], np.int64).reshape(len(a), len(b))
