@@ -172,11 +172,11 @@ def image_phash(data: pd.Series, height: pd.Series, width: pd.Series, channels:
 
 
 def match_pixels(width: int, height: int):
-    """Function of image columns -> grey working pixels as array<double>, reduced to one size."""
+    """Function of image columns -> grey working pixels, reduced to one size, a byte each."""
 
-    @F.pandas_udf("array<double>")
+    @F.pandas_udf("binary")
     def pixels(data: pd.Series, h: pd.Series, w: pd.Series, channels: pd.Series) -> pd.Series:
-        return pd.Series([None if x is None else resize_area(gray(x), width, height).astype(float).ravel() for x in _images(data, h, w, channels)])
+        return pd.Series([None if x is None else resize_area(gray(x), width, height).tobytes() for x in _images(data, h, w, channels)], dtype=object)
 
     return pixels
 

@@ -62,11 +62,12 @@ HDR_SCHEMA = "streams array<struct<color_transfer:string,color_primaries:string,
 
 def is_hdr(probe_json) -> Column:
     """Whether the first stream has an HDR transfer, wide primaries or Dolby Vision data; false for unreadable probes."""
+    # fixed values: the names that probes give
     s = F.get(F.from_json(col(probe_json), HDR_SCHEMA)["streams"], F.lit(0))
     return F.coalesce(
         F.coalesce(s["color_transfer"].isin("smpte2084", "arib-std-b67"), F.lit(False))
         | F.coalesce(s["color_primaries"] == "bt2020", F.lit(False))
-        | F.coalesce(F.exists(s["side_data_list"], lambda d: F.coalesce(d["side_data_type"].contains("Dolby Vision"), F.lit(False))), F.lit(False)),
+        | F.coalesce(F.exists(s["side_data_list"], lambda d: F.coalesce(d["side_data_type"] == "Dolby Vision", F.lit(False))), F.lit(False)),
         F.lit(False),
     )
 
@@ -92,13 +93,14 @@ def filter_chain(side, interlaced, hdr, scene_threshold, p: Params = Params(), m
     """Comma-joined filters in fixed order: deinterlace, chroma, tone map, scene select with its log."""
     side, mode = col(side), F.lit(p.deinterlace_mode) if mode is None else col(mode)
     hdr_mode = F.lit(p.hdr_mode) if hdr_mode is None else col(hdr_mode)
+    # the three fixed modes don't ask whether a video is HDR
     deinterlace = (
         ((mode == "auto") & col(interlaced)) | (mode == "both") | ((mode == "lr") & (side == "LR")) | ((mode == "hr") & (side == "HR"))
     )
-    tone = F.lit(p.hdr_tone_mapping) & col(hdr) & (
-        hdr_mode.isin("auto", "both") | ((hdr_mode == "hr_only") & (side == "HR")) | ((hdr_mode == "lr_only") & (side == "LR"))
+    tone = F.lit(p.hdr_tone_mapping) & (
+        ((hdr_mode == "auto") & col(hdr)) | (hdr_mode == "both") | ((hdr_mode == "hr_only") & (side == "HR")) | ((hdr_mode == "lr_only") & (side == "LR"))
     )
-    select = F.concat(F.lit("select='gt(scene,"), F.format_string("%.2f", F.lit(scene_threshold).cast("double")), F.lit(")',showinfo"))
+    select = F.lit(f"select='gt(scene,{float(scene_threshold)!r})',showinfo")
     return F.concat_ws(
         ",", F.when(deinterlace, p.deinterlace_filter), F.when(F.lit(p.chroma_upsampling), p.chroma_filter), F.when(tone, p.hdr_filter), select
     )

@@ -67,10 +67,13 @@ def median(a) -> Column:
 
 
 def median_hash(a) -> Column:
-    """64 bits, bit i set if value i is above the median."""
+    """64 bits, bit i set if value i is above the median. Longer vectors are folded: value i, i + 64 and so on are added up."""
+    folded = F.when(F.size(col(a)) <= 64, col(a)).otherwise(
+        F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.aggregate(F.filter(col(a), lambda x, k: k % 64 == i), F.lit(0.0), lambda s, x: s + x))
+    )
     one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
     bit = lambda m: lambda x, i: F.when(x > m, F.call_function("shiftleft", one, i)).otherwise(none)
-    return let(median(a), lambda m: F.aggregate(F.transform(F.slice(col(a), 1, 64), bit(m)), none, lambda s, x: s.bitwiseOR(x)))
+    return let(folded, lambda v: let(median(v), lambda m: F.aggregate(F.transform(v, bit(m)), none, lambda s, x: s.bitwiseOR(x))))
 
 
 def hamming(a, b) -> Column:

@@ -12,9 +12,10 @@ from ..params import Params
 
 
 def batches(images: DataFrame, video="video", name="name", p: Params = Params()) -> DataFrame:
-    """Images with batch (from 0), batches and output suffix, by name order in each video."""
+    """Images with batch (from 0), batches and output suffix, by name order in each video. A batch size of 0 is no limit."""
     by = Window.partitionBy(video)
-    numbered = images.withColumn("batch", F.floor((F.row_number().over(by.orderBy(name)) - 1) / p.align_batch).cast("int"))
+    at = F.row_number().over(by.orderBy(name)) - 1
+    numbered = images.withColumn("batch", (F.floor(at / p.align_batch) if p.align_batch > 0 else F.lit(0)).cast("int"))
     counted = numbered.withColumn("batches", (F.max("batch").over(by) + 1).cast("int"))
     return counted.withColumn(
         "suffix", F.when(F.col("batches") > 1, F.concat(F.lit("_batch_"), (F.col("batch") + 1).cast("string"))).otherwise("")

@@ -17,7 +17,7 @@ def scene_score(mafd: Column, before: Column) -> Column:
 def scene_cuts(frames: DataFrame, video="video", order=("ts",), mafd="mafd", p: Params = Params()) -> DataFrame:
     """Frames that begin a scene: score strictly above the threshold; the first frame has 0 before it."""
     by = Window.partitionBy(video).orderBy(*order)
-    scored = frames.withColumn("scene", F.round(scene_score(F.col(mafd), F.lag(mafd, 1, 0.0).over(by)), 6) + 0.0)
+    scored = frames.withColumn("scene", scene_score(F.col(mafd), F.lag(mafd, 1, 0.0).over(by)))
     return scored.where(F.col("scene") > p.scene_threshold)
 
 

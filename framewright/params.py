@@ -17,11 +17,12 @@ class Params:
     scene_threshold: float = 0.20
     interlace_ratio: float = 0.25
     deinterlace_mode: str = "auto"
-    deinterlace_filter: str = "bwdif"
+    # fixed values: the default filters
+    deinterlace_filter: str = "bwdif=mode=send_frame:parity=auto"
     chroma_upsampling: bool = True
-    chroma_filter: str = "format=yuv444p"
+    chroma_filter: str = "scale=sws_flags=lanczos:in_color_matrix=bt709,format=yuv444p"
     hdr_tone_mapping: bool = False
-    hdr_filter: str = "tonemap"
+    hdr_filter: str = "zscale=t=linear:npl=100,tonemap=tonemap=hable,zscale=p=bt709:t=bt709:m=bt709,format=bgr24"
     hdr_mode: str = "auto"
     attempt_content_fix: bool = True
     content_fix_threshold: float = 0.75

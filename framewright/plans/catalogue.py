@@ -17,6 +17,8 @@ from ..params import Params
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
 P = Params(match_threshold=0.2)
+#: Scores are compared as they are, and rounded to be shown.
+SHOWN = "round(score, 6) + 0.0D AS score"
 
 
 def query(sql: str | None = None):
@@ -74,7 +76,7 @@ px AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS
 c0 AS (SELECT vec_id, e, list_sum(e) / len(e) AS m FROM px),
 c1 AS (SELECT vec_id, list_transform(e, lambda x: x - m) AS c FROM c0),
 u AS (SELECT vec_id, list_transform(c, lambda x: x / sqrt(list_inner_product(c, c))) AS u FROM c1),
-scored AS (SELECT video, lr_frame, lr_ts, hr_frame, hr_ts, round(list_inner_product(a.u, b.u), 6) + 0.0 AS score
+scored AS (SELECT video, lr_frame, lr_ts, hr_frame, hr_ts, list_inner_product(a.u, b.u) AS score
            FROM cand CROSS JOIN n JOIN u a ON a.vec_id = le % n.n JOIN u b ON b.vec_id = he % n.n),
 best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY video, lr_frame ORDER BY score DESC, hr_frame) = 1)"""
 
@@ -84,13 +86,13 @@ best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY video, lr_
 over_ AS (SELECT * FROM best WHERE score >= 0.2),
 top AS (SELECT *, greatest(-1.0, coalesce(max(hr_ts) OVER (PARTITION BY video ORDER BY lr_ts, lr_frame
           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1.0)) AS top FROM over_)
-SELECT video, lr_frame, lr_ts, hr_frame, hr_ts, score FROM top WHERE hr_ts >= top"""
+SELECT video, lr_frame, lr_ts, hr_frame, hr_ts, round(score, 6) + 0.0 AS score FROM top WHERE hr_ts >= top"""
 )
 def temporal_match(spark, sf_dir):
     """Flagship: interval candidates, correlation, best candidate, threshold, monotone order."""
     lr, hr = sides(spark, sf_dir)
     found = match.temporal_match(pixels(spark, sf_dir, lr, "lr_pixels"), pixels(spark, sf_dir, hr, "hr_pixels"), P)
-    return found.select("video", "lr_frame", "lr_ts", "hr_frame", "hr_ts", "score")
+    return found.selectExpr("video", "lr_frame", "lr_ts", "hr_frame", "hr_ts", SHOWN)
 
 
 @query(f"WITH {_FRAMES} SELECT video, lr_frame, count(*) AS candidates, min(hr_frame) AS first_candidate FROM cand GROUP BY ALL")
@@ -100,14 +102,12 @@ def interval_candidates(spark, sf_dir):
     return found.groupBy("video", "lr_frame").agg(F.count(F.lit(1)).alias("candidates"), F.min("hr_frame").alias("first_candidate"))
 
 
-@query(f"WITH {_FRAMES}{_SCORED} SELECT video, lr_frame, hr_frame, score FROM best")
+@query(f"WITH {_FRAMES}{_SCORED} SELECT video, lr_frame, hr_frame, round(score, 6) + 0.0 AS score FROM best")
 def best_match_topk(spark, sf_dir):
     lr, hr = sides(spark, sf_dir)
     lr = pixels(spark, sf_dir, lr.withColumn("w", match.window_of(F.col("duration"))), "lr_pixels").drop("event_id", "ts")
     hr = pixels(spark, sf_dir, hr, "hr_pixels").drop("event_id", "ts")
-    unit = lambda df, c: df.withColumn(c, V.unit_centred(c))
-    scored = match.score(match.interval_join(unit(lr, "lr_pixels"), unit(hr, "hr_pixels")), prepared=True)
-    return match.best_match(scored).select("video", "lr_frame", "hr_frame", "score")
+    return match.best_candidates(lr, hr).selectExpr("video", "lr_frame", "hr_frame", SHOWN)
 
 
 @query(
@@ -247,12 +247,12 @@ def crop_contest(spark, sf_dir):
 
 @query(
     """WITH m AS (SELECT user_id, event_id, ts, value, lag(value, 1, 0.0) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS b FROM events),
-s AS (SELECT user_id, event_id, round(least(greatest(least(value, abs(value - b)) / 100, 0.0), 1.0), 6) + 0.0 AS scene FROM m)
-SELECT * FROM s WHERE scene > 0.2"""
+s AS (SELECT user_id, event_id, least(greatest(least(value, abs(value - b)) / 100, 0.0), 1.0) AS scene FROM m)
+SELECT user_id, event_id, round(scene, 6) + 0.0 AS scene FROM s WHERE scene > 0.2"""
 )
 def scene_cut(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "value")
-    return extract.scene_cuts(e, "user_id", ("ts", "event_id"), "value").select("user_id", "event_id", "scene")
+    return extract.scene_cuts(e, "user_id", ("ts", "event_id"), "value").select("user_id", "event_id", (F.round("scene", 6) + 0.0).alias("scene"))
 
 
 @query(
@@ -309,7 +309,7 @@ def hdr_rule(spark, sf_dir):
     transfer = F.when(size % 5 == 0, "smpte2084").when(size % 5 == 1, "arib-std-b67").otherwise("bt709")
     json = F.concat(
         F.lit('{"streams":[{"color_transfer":"'), transfer, F.lit('","color_primaries":"'), F.when(size % 7 == 0, "bt2020").otherwise("bt709"),
-        F.lit('","side_data_list":['), F.when(key % 6 == 0, F.lit('{"side_data_type":"Dolby Vision configuration record"}')).otherwise(""), F.lit("]}]}"),
+        F.lit('","side_data_list":['), F.when(key % 6 == 0, F.lit('{"side_data_type":"Dolby Vision"}')).when(key % 6 == 1, F.lit('{"side_data_type":"Dolby Vision Metadata"}')).otherwise(""), F.lit("]}]}"),
     )
     probe = F.when(key % 11 == 0, "{broken").otherwise(json)
     seconds_ = F.when(key % 11 == 0, "N/A").otherwise(F.concat(F.lit(" "), (size + F.lit(0.5)).cast("string"), F.lit(" ")))
@@ -320,9 +320,10 @@ def hdr_rule(spark, sf_dir):
     """WITH x AS (SELECT p_partkey, CASE p_partkey % 2 WHEN 0 THEN 'LR' ELSE 'HR' END AS side,
   ['none', 'auto', 'lr', 'hr', 'both'][1 + p_size % 5] AS mode, ['auto', 'hr_only', 'lr_only', 'both', 'off'][1 + p_partkey % 5] AS hm,
   p_size % 3 = 0 AS i, p_size % 2 = 0 AS h FROM part)
-SELECT p_partkey, concat_ws(',', CASE WHEN (mode = 'auto' AND i) OR mode = 'both' OR (mode = 'lr' AND side = 'LR') OR (mode = 'hr' AND side = 'HR') THEN 'bwdif' END,
-  'format=yuv444p', CASE WHEN h AND (hm IN ('auto', 'both') OR (hm = 'hr_only' AND side = 'HR') OR (hm = 'lr_only' AND side = 'LR')) THEN 'tonemap' END,
-  'select=''gt(scene,0.20)'',showinfo') AS chain FROM x"""
+SELECT p_partkey, concat_ws(',', CASE WHEN (mode = 'auto' AND i) OR mode = 'both' OR (mode = 'lr' AND side = 'LR') OR (mode = 'hr' AND side = 'HR') THEN 'bwdif=mode=send_frame:parity=auto' END,
+  'scale=sws_flags=lanczos:in_color_matrix=bt709,format=yuv444p', CASE WHEN (hm = 'auto' AND h) OR hm = 'both' OR (hm = 'hr_only' AND side = 'HR') OR (hm = 'lr_only' AND side = 'LR')
+    THEN 'zscale=t=linear:npl=100,tonemap=tonemap=hable,zscale=p=bt709:t=bt709:m=bt709,format=bgr24' END,
+  'select=''gt(scene,0.2)'',showinfo') AS chain FROM x"""
 )
 def filter_chain(spark, sf_dir):
     size, key = F.col("p_size"), F.col("p_partkey")
@@ -488,16 +489,14 @@ def stage_summary(spark, sf_dir):
     return progress.summary(_log(spark, sf_dir))
 
 
-@query("SELECT epoch_us(ts) // 1800000000 AS slot, count(*) AS lines, count(*) FILTER (WHERE event_type = 'error') AS errors FROM events GROUP BY ALL")
+@query("SELECT epoch_us(ts) // 1800000000 AS slot, count(*) AS lines, 0 AS images, count(*) FILTER (WHERE event_type = 'error') AS errors FROM events GROUP BY ALL")
 def heartbeat_tumbling(spark, sf_dir):
     """Tumbling windows of half an hour; slot counts them from 1970."""
-    e = table(spark, sf_dir, "events")
-    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', window.start)")
-    return (
-        e.groupBy(F.window("ts", "30 minutes"))
-        .agg(F.count(F.lit(1)).alias("lines"), F.count_if(F.col("event_type") == "error").alias("errors"))
-        .select((micros / 1800000000).cast("long").alias("slot"), "lines", "errors")
-    )
+    from ..streaming.streams import heartbeat
+
+    lines = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("at"), F.col("event_type").alias("text"))
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', cast(window.start AS timestamp_ntz))")
+    return heartbeat(lines, "at", "30 minutes", value="text").select((micros / 1800000000).cast("long").alias("slot"), "lines", "images", "errors")
 
 
 @query(
@@ -552,3 +551,54 @@ def stream_group_counts(spark, sf_dir):
     from ..streaming.streams import grouped_counts_stream
 
     return grouped_counts_stream(spark, f"{sf_dir}/events.parquet")
+
+
+@query(
+    """WITH n AS (SELECT l_orderkey, l_linenumber, l_comment FROM (SELECT l_orderkey, l_linenumber, '/in/' || (l_orderkey % 50) || '/' || CASE l_linenumber % 3
+    WHEN 0 THEN 'Clip.' WHEN 1 THEN 'My.Clip.' ELSE 'clip' END || l_suppkey || CASE l_partkey % 4 WHEN 0 THEN '.MKV' WHEN 1 THEN '.mp4' WHEN 2 THEN '.txt' ELSE '.Png' END AS l_comment FROM lineitem))
+SELECT l_orderkey, l_linenumber, lower(regexp_replace(regexp_extract(l_comment, '([^/]*)$', 1), '\\.[^.]*$', '')) AS stem,
+  regexp_matches(l_comment, '(?i)\\.(avi|mp4|mkv|ts|mpg|mpeg|mov|flv|wmv|webm)$') AS video, regexp_matches(l_comment, '(?i)\\.(png|jpg|jpeg)$') AS image FROM n"""
+)
+def file_names(spark, sf_dir):
+    """Endings and stems of paths."""
+    line, part = F.col("l_linenumber"), F.col("l_partkey") % 4
+    name = F.when(line % 3 == 0, "Clip.").when(line % 3 == 1, "My.Clip.").otherwise("clip")
+    end = F.when(part == 0, ".MKV").when(part == 1, ".mp4").when(part == 2, ".txt").otherwise(".Png")
+    path = F.concat(F.lit("/in/"), (F.col("l_orderkey") % 50).cast("string"), F.lit("/"), name, F.col("l_suppkey").cast("string"), end)
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", path.alias("path"))
+    return rows.select("l_orderkey", "l_linenumber", T.stem_key("path").alias("stem"), T.is_video("path").alias("video"), T.is_image("path").alias("image"))
+
+
+@query(
+    """WITH n AS (SELECT user_id, 'frame_' || lpad(CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS VARCHAR), 6, '0') || '.png' AS name,
+  value FROM events WHERE event_type = 'purchase') SELECT user_id, name, value AS ts_s FROM n"""
+)
+def named_times(spark, sf_dir):
+    """A video's frames and times as one map, taken apart again."""
+    e = table(spark, sf_dir, "events").where("event_type = 'purchase'")
+    number = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
+    f = e.select("user_id", T.frame_name(number).alias("name"), "value")
+    listed = f.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("name", "value"))).alias("f"))
+    mapped = listed.select("user_id", extract.name_times(F.col("f.name"), F.col("f.value")).alias("m"))
+    return mapped.select("user_id", F.explode("m").alias("name", "ts_s"))
+
+
+@query("SELECT event_id, CASE WHEN event_type = 'error' THEN 'error' ELSE 'line' END AS kind, event_type AS text FROM events")
+def tagged_lines(spark, sf_dir):
+    from ..streaming.streams import drain, events_stream, tagged
+
+    lines = events_stream(spark, f"{sf_dir}/events.parquet").select("event_id", F.col("event_type").alias("value"))
+    return drain(tagged(lines, "value", keep=("event_id",)))
+
+
+@query(
+    """SELECT 'LR' AS side, video, name || '_frame_000007.png' AS name FROM (SELECT user_id AS video, user_id || '' AS name FROM events WHERE event_type = 'view' GROUP BY user_id)
+UNION ALL SELECT 'HR', video, name || '_frame_000007.png' FROM (SELECT user_id AS video, user_id || '' AS name FROM events WHERE event_type = 'view' GROUP BY user_id)"""
+)
+def matched_sets(spark, sf_dir):
+    """Both sides of a matched pair under the LR frame's name."""
+    from ..sources.sinks import matched_set
+
+    users = table(spark, sf_dir, "events").where("event_type = 'view'").select(F.col("user_id").alias("video")).distinct()
+    pairs = users.withColumn("lr_frame", F.lit("frame_000007.png")).withColumn("hr_frame", F.lit("frame_000009.png"))
+    return matched_set(pairs).select("side", "video", "name")

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import is_image_line
 from ..operators import progress
 from ..sources.tables import new_path
 
@@ -63,14 +64,22 @@ def grouped_counts_stream(spark: SparkSession, path: str) -> DataFrame:
     return drain(rows, "complete")
 
 
-def heartbeat(lines: DataFrame, at: str = "at", every: str = "30 seconds", late: str = "1 minute") -> DataFrame:
-    """Counts of lines in tumbling windows, for a stream or a table."""
-    return lines.withWatermark(at, late).groupBy(F.window(at, every)).agg(F.count(F.lit(1)).alias("lines"))
+def heartbeat(lines: DataFrame, at: str = "at", every: str = "30 seconds", late: str = "1 minute", value: str = "value") -> DataFrame:
+    """Counts of a tool's lines, of those that name an image, and of errors, in tumbling windows; for a stream or a table."""
+    return (
+        lines.withWatermark(at, late)
+        .groupBy(F.window(at, every))
+        .agg(
+            F.count(F.lit(1)).alias("lines"),
+            F.count_if(is_image_line(value)).alias("images"),
+            F.count_if(F.col(value).rlike("(?i)error")).alias("errors"),
+        )
+    )
 
 
-def tagged(lines: DataFrame, value: str = "value") -> DataFrame:
-    """Log lines as (kind, text): 'error' where the line says so, else 'line'."""
-    return lines.select(F.when(F.col(value).rlike("(?i)error"), "error").otherwise("line").alias("kind"), F.col(value).alias("text"))
+def tagged(lines: DataFrame, value: str = "value", keep=()) -> DataFrame:
+    """Log lines as (*keep, kind, text): 'error' where the line says so, else 'line'."""
+    return lines.select(*keep, F.when(F.col(value).rlike("(?i)error"), "error").otherwise("line").alias("kind"), F.col(value).alias("text"))
 
 
 def resumable(stream: DataFrame, stage: str, key: str, log_path: str, work: Callable[[DataFrame], None], checkpoint: str):

@@ -3,6 +3,7 @@
 
 import sys
 
+import numpy as np
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -137,7 +138,7 @@ def test_reconcile(spark):
 
 def test_scene(spark):
     df = spark.createDataFrame([("v", k, float(m)) for k, m in enumerate((0, 30, 35, 80, 10))], "video string, ts int, mafd double")
-    assert {(r["ts"], r["scene"]) for r in extract.scene_cuts(df).collect()} == {(1, 0.3), (3, 0.45)}
+    assert {(r["ts"], round(r["scene"], 9)) for r in extract.scene_cuts(df).collect()} == {(1, 0.3), (3, 0.45)}
 
 
 def test_contest_and_aspect(spark):
@@ -209,3 +210,82 @@ def test_extraction_boundary(spark):
         ("good", "frame_000001.png", 0.5, "ok"), ("good", "frame_000002.png", 2.0, "ok"), ("good", "frame_000003.png", 2.0, "ok"),
         ("bad", None, None, "failed: OSError"), ("none", None, None, "no frames or times"),
     }
+
+
+def test_filter_chain_rules(spark):
+    p = Params(hdr_tone_mapping=True)
+    chain = lambda side, hdr, mode, t=0.2: one(spark, T.filter_chain(F.lit(side), F.lit(False), F.lit(hdr), t, p, hdr_mode=F.lit(mode)))
+    # only 'auto' asks whether the video is HDR
+    got = {(s, h, m) for s in ("LR", "HR") for h in (False, True) for m in ("auto", "both", "hr_only", "lr_only", "off") if p.hdr_filter in chain(s, h, m)}
+    want = {(s, True, "auto") for s in ("LR", "HR")} | {(s, h, m) for h in (False, True) for s, m in (("LR", "both"), ("HR", "both"), ("HR", "hr_only"), ("LR", "lr_only"))}
+    assert got == want
+    assert chain("LR", False, "off", 0.125).endswith("select='gt(scene,0.125)',showinfo")
+    assert chain("LR", False, "off") == "scale=sws_flags=lanczos:in_color_matrix=bt709,format=yuv444p,select='gt(scene,0.2)',showinfo"
+    assert Params().deinterlace_filter == "bwdif=mode=send_frame:parity=auto"
+
+
+def test_batch_size_zero_is_one_batch(spark):
+    df = spark.createDataFrame([("v", f"{k:04d}") for k in range(120)], "video string, name string")
+    assert {(r["batch"], r["batches"], r["suffix"]) for r in batching.batches(df, p=Params(align_batch=0)).collect()} == {(0, 1, "")}
+
+
+def test_windows_may_differ_inside_a_video(spark):
+    lr = spark.createDataFrame([("v", "l1", 10.0, 1.0), ("v", "l2", 30.0, 6.0)], "video string, lr_frame string, lr_ts double, w double")
+    hr = spark.createDataFrame([("v", f"h{t}", float(t)) for t in range(0, 40)], "video string, hr_frame string, hr_ts double")
+    got = {(r["lr_frame"], r["hr_frame"]) for r in match.interval_join(lr, hr).collect()}
+    assert got == {("l1", f"h{t}") for t in (9, 10, 11)} | {("l2", f"h{t}") for t in range(24, 37)}
+
+
+def test_scores_are_compared_unrounded(spark):
+    a = np.zeros(100)
+    a[0] = 1
+    b = a.copy()
+    b[1] = 1e-4  # differs from a far behind the sixth place
+    lr = spark.createDataFrame([("v", "l", 0.0, 5.0, a.tolist())], "video string, lr_frame string, lr_ts double, w double, lr_pixels array<double>")
+    hr = spark.createDataFrame([("v", "a", 0.0, b.tolist()), ("v", "b", 0.0, a.tolist()), ("v", "c", 1.0, a.tolist())], "video string, hr_frame string, hr_ts double, hr_pixels array<double>")
+    assert match.best_candidates(lr, hr).first()["hr_frame"] == "b"
+
+
+def test_best_candidates_on_bytes_equal_plain(spark):
+    """Working size, many blocks, flat and unreadable frames, windows of different width."""
+    from framewright.functions import pixels
+
+    rng = np.random.default_rng(2)
+    scenes = rng.integers(0, 256, (6, 955 * 540), dtype=np.uint8)
+    noisy = lambda k: np.clip(scenes[k].astype(int) + rng.integers(-40, 40, scenes.shape[1]), 0, 255).astype(np.uint8)
+    lr = [(v, f"l{k}", 2.0 * k, 3.0 + v, bytes(noisy(k % 6))) for v in (1, 2) for k in range(6)] + [(1, "flat", 3.0, 3.0, bytes(955 * 540)), (1, "bad", 3.0, 3.0, None)]
+    hr = [(v, f"h{k}", 1.0 * k, bytes(noisy(k % 6))) for v in (1, 2) for k in range(12)] + [(2, "flat", 4.0, bytes(955 * 540)), (2, "bad", 4.0, None)]
+    got = match.best_candidates(
+        spark.createDataFrame(lr, "video int, lr_frame string, lr_ts double, w double, lr_pixels binary"),
+        spark.createDataFrame(hr, "video int, hr_frame string, hr_ts double, hr_pixels binary"),
+    ).collect()
+    image = lambda b: np.frombuffer(b, np.uint8).reshape(540, 955)
+    want = {}
+    for v, f, t, w, px in lr:
+        near = [(-pixels.ncc(image(px), image(p)), g) for u, g, s, p in hr if px and p and u == v and abs(t - s) <= w]
+        if near:
+            want[v, f] = min(near)
+    assert {(r["video"], r["lr_frame"]): r["hr_frame"] for r in got} == {k: g for k, (_, g) in want.items()}
+    assert all(abs(r["score"] + want[r["video"], r["lr_frame"]][0]) < 1e-9 for r in got)
+
+
+def test_long_vectors_are_folded(spark):
+    v = list(map(float, range(64))) + [0.0] * 63 + [-200.0]
+    assert one(spark, V.median_hash(F.array(*map(F.lit, v)))) == sum(1 << k for k in range(31, 63))
+    assert one(spark, V.median_hash(F.array(*map(F.lit, v[:64])))) == sum(1 << k for k in range(32, 63)) - (1 << 63)
+
+
+def test_dedup_by_components_equals_loop(spark):
+    rng = np.random.default_rng(8)
+    base = rng.integers(-(2**63), 2**63 - 1, 40)
+    frames = []
+    for k in range(3000):
+        h = int(base[rng.integers(40)])
+        for b in rng.integers(0, 64, rng.integers(0, 4)):
+            h ^= (1 << int(b)) if b < 63 else -(1 << 63)
+        frames.append((k, h, int(rng.integers(0, 9))))
+    for t in (1, 3, 4, 6, 9):
+        assert removed(spark, frames, t) == fold(frames, t), t
+    rows = [("a", *f) for f in frames[:500]] + [(None, *f) for f in frames[:500]]
+    df = spark.createDataFrame(rows, "g string, i long, h long, z long")
+    assert {(r["g"], r["i"]) for r in dedup.removed_by_fold(df, ["g"], 4).collect()} == {(g, i) for g in ("a", None) for i in fold(frames[:500], 4)}

@@ -184,5 +184,5 @@ def test_resumable_stage(spark, tmp_path):
 
 def test_heartbeat_and_tags(spark):
     df = spark.sql("SELECT timestamp'2024-01-01 00:00:00' + make_interval(0,0,0,0,0,0,id * 10) AS at, if(id = 2, 'ERROR x', 'a.png') AS value FROM range(6)")
-    assert sorted(r["lines"] for r in streams.heartbeat(df).collect()) == [3, 3]
+    assert sorted((r["lines"], r["images"], r["errors"]) for r in streams.heartbeat(df).collect()) == [(3, 2, 1), (3, 3, 0)]
     assert [r["kind"] for r in streams.tagged(df).collect()].count("error") == 1
