@@ -37,15 +37,19 @@ def aligned(pairs: DataFrame, aligner: Callable, schema: str) -> DataFrame:
     return pairs.groupBy("video", "batch").applyInPandas(aligner, schema)
 
 
-def supervised(cmd: list[str], timeout: float, on_line: Callable[[str], None] = lambda line: None) -> tuple[bool, list[str]]:
-    """Run a tool, pass on its lines; terminate, then kill it after ``timeout`` seconds. (ended well, last 10 lines)."""
+def supervised(cmd: list[str], timeout: float, on_line: Callable[[str], None] = lambda line: None, quiet: bool = False) -> tuple[bool, list[str]]:
+    """Run a tool, pass on its lines; terminate, then kill it after ``timeout`` seconds. (ended well, last 10 lines).
+
+    quiet: a tool in Python is told to keep its warnings to itself.
+    """
+    import os
     import subprocess
     import threading
     from collections import deque
 
     last: deque[str] = deque(maxlen=10)
     try:
-        proc = subprocess.Popen(cmd, stdout=subprocess.PIPE, stderr=subprocess.STDOUT, text=True, errors="replace")
+        proc = subprocess.Popen(cmd, stdout=subprocess.PIPE, stderr=subprocess.STDOUT, text=True, errors="replace", env=os.environ | ({"PYTHONWARNINGS": "ignore"} if quiet else {}))
     except OSError as e:
         return False, [str(e)]
 
