@@ -18,6 +18,7 @@ table gives an empty table. Columns other than id and text are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -188,10 +189,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
 
     def bags(batches):
         for batch in batches:
-            got = [bag(x.as_py()) for x in batch.column(1)]
+            got = [tuple(x.tobytes() for x in bag(t.as_py())) for t in batch.column(1)]
+            digests = pa.array([hashlib.md5(a + w).digest() for a, w in got], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array([x[c].tobytes() for x in got], pa.binary()) for c in (0, 1))],
-                names=["y", "at", "weight"],
+                [batch.column(0), digests, *(pa.array([x[c] for x in got], pa.binary()) for c in (0, 1))], names=["y", "digest", "at", "weight"]
             )
 
     own = docs.select(F.col(id_col).cast("long").alias("__id"), text_of(text_col).alias("__text"))
@@ -200,15 +201,18 @@ def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
         .groupBy("__id", "__y")
         .agg(F.min(F.struct(F.md5("__text"), F.col("__text").alias("text"))).alias("least"))
         .select("__y", "least.text")
-        .mapInArrow(bags, "y int, at binary, weight binary")
+        .mapInArrow(bags, "y int, digest binary, at binary, weight binary")
         .toArrow()  # sum(per_class) rows at most, four bytes for each of a row's buckets
     )
-    # the order must not depend on the run
-    found = sorted(zip(rows["y"].to_pylist(), rows["at"].to_pylist(), rows["weight"].to_pylist()))
-    del rows
-    prior = counts[1] / (counts[0] + counts[1])
-    bags_ = [(np.frombuffer(at, np.uint16), np.frombuffer(weight, np.float16)) for _, at, weight in found]
-    return fit(bags_, np.array([y for y, _, _ in found], np.int64), prior)
+    # the order must not depend on the run; the bags themselves are not copied
+    y = rows["y"].to_numpy().astype(np.int64)
+    order = sorted(range(len(y)), key=list(zip(y.tolist(), rows["digest"].to_pylist())).__getitem__)
+    parts = [[(c, at) for c in rows[name].chunks for at in range(len(c))] for name in ("at", "weight")]
+    view = lambda part, kind: np.frombuffer(part[0][part[1]].as_buffer() or b"", kind)
+    model = fit([(view(parts[0][k], np.uint16), view(parts[1][k], np.float16)) for k in order], y[order], counts[1] / (counts[0] + counts[1]))
+    del rows, parts
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def score(docs: DataFrame, model, id_col="doc_id", text_col="text") -> DataFrame:
