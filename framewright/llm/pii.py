@@ -23,7 +23,6 @@ import re
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -468,11 +467,15 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with personal data replaced in the text, and n_chars, where there is one, counted anew."""
     model = trained()
 
-    @F.pandas_udf("string")
-    def clean(texts: pd.Series) -> pd.Series:
-        own = [x or "" for x in texts]
-        got = [redacted(t, b + a) for t, (b, a) in zip(own, spans_of(own, model))]
-        return pd.Series([None if x is None else g for x, g in zip(texts, got)], dtype=object)
+    @F.arrow_udf("string")
+    def clean(texts: pa.Array) -> pa.Array:
+        out = []
+        for at in range(0, len(texts), 256):  # few texts at a time become Python's
+            part = texts[at : at + 256].to_pylist()
+            own = [x or "" for x in part]
+            got = [redacted(t, b + a) for t, (b, a) in zip(own, spans_of(own, model))]
+            out.append(pa.array([None if x is None else g for x, g in zip(part, got)], pa.string()))
+        return pa.concat_arrays(out) if out else pa.array([], pa.string())
 
     out = docs.withColumn(text_col, clean(F.col(text_col)))
     if "n_chars" in docs.columns:

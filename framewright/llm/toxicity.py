@@ -23,7 +23,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -153,10 +152,11 @@ class WordScores(dict):
             self.update(zip(new, got.tolist()))
 
 
-def log_odds(texts: list[str], words: WordScores, bias: float) -> np.ndarray:
+def log_odds(texts, words: WordScores, bias: float) -> np.ndarray:
+    """texts: a list or an Arrow array, of which a few at a time become Python's."""
     out = np.full(len(texts), bias)
     for a in range(0, len(texts), 64):
-        lists = [tokens_of(x) for x in texts[a : a + 64]]
+        lists = [tokens_of((x if isinstance(x, str) else x and x.as_py()) or "") for x in texts[a : a + 64]]
         words.learn(set().union(*lists))
         for k, tokens in enumerate(lists, a):
             if not tokens:
@@ -223,7 +223,7 @@ def score(docs: DataFrame, model, id_col="doc_id", text_col="text") -> DataFrame
         for batch in batches:
             out = np.zeros(batch.num_rows)
             if model:
-                out = probability(log_odds(batch.column(1).to_pylist(), words, model[1]))
+                out = probability(log_odds(batch.column(1), words, model[1]))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out)], names=["doc_id", "score"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(
@@ -238,11 +238,11 @@ def reject(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
         return docs
     u, bias = model
 
-    @F.pandas_udf("double")
-    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         words = WordScores(u)
         for texts in batches:
-            yield pd.Series(probability(log_odds([x or "" for x in texts], words, bias)))
+            yield pa.array(probability(log_odds(texts, words, bias)))
 
     return docs.where(scored(F.col(text_col)) < threshold)
 
