@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import time
 
@@ -85,9 +86,18 @@ def paired_blocks(members: DataFrame, key: str, weight: str, row: str, cap: int
     )
 
 
+def give_back() -> None:
+    """Return the driver's free Python memory to the system, where its C library can (glibc)."""
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
 def release(spark) -> None:
     """Collect the driver's garbage now, Python's first, so that Spark's cleaner deletes the shuffle files of jobs that are over."""
-    gc.collect()
+    give_back()
     for _ in range(3):  # references from Python's side are let go between collections
         spark.sparkContext._jvm.System.gc()
         time.sleep(0.3)

@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from ..sources.tables import dropped, written
+from .common import give_back, text_of
 
 BUCKETS = 1 << 16
 DIM = 8
@@ -196,22 +197,23 @@ def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
             )
 
     own = docs.select(F.col(id_col).cast("long").alias("__id"), text_of(text_col).alias("__text"))
-    rows = (
+    rows = written(
         own.join(F.broadcast(few), "__id")
         .groupBy("__id", "__y")
         .agg(F.min(F.struct(F.md5("__text"), F.col("__text").alias("text"))).alias("least"))
         .select("__y", "least.text")
-        .mapInArrow(bags, "y int, digest binary, at binary, weight binary")
-        .toArrow()  # sum(per_class) rows at most, four bytes for each of a row's buckets
+        .mapInArrow(bags, "y int, digest binary, at binary, weight binary"),
+        "bags",
     )
-    # the order must not depend on the run; the bags themselves are not copied
-    y = rows["y"].to_numpy().astype(np.int64)
-    order = sorted(range(len(y)), key=list(zip(y.tolist(), rows["digest"].to_pylist())).__getitem__)
-    parts = [[(c, at) for c in rows[name].chunks for at in range(len(c))] for name in ("at", "weight")]
-    view = lambda part, kind: np.frombuffer(part[0][part[1]].as_buffer() or b"", kind)
-    model = fit([(view(parts[0][k], np.uint16), view(parts[1][k], np.float16)) for k in order], y[order], counts[1] / (counts[0] + counts[1]))
-    del rows, parts
-    pa.default_memory_pool().release_unused()
+    # sum(per_class) rows at most, four bytes for each of a row's buckets; a file's part at a time passes the JVM
+    got = [(r["y"], bytes(r["digest"]), bytes(r["at"]), bytes(r["weight"])) for r in rows.toLocalIterator()]
+    dropped(rows)
+    got.sort(key=lambda x: x[:2])  # the order must not depend on the run
+    y = np.array([x[0] for x in got], np.int64)
+    sample = [(np.frombuffer(x[2], np.uint16), np.frombuffer(x[3], np.float16)) for x in got]
+    model = fit(sample, y, counts[1] / (counts[0] + counts[1]))
+    del got, sample
+    give_back()
     return model
 
 
