@@ -14,6 +14,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from framewright.llm import mixing, near_copies, packing, pii, toxicity
+from framewright.llm.common import release
 from framewright.sources.tables import dropped, recorded, written
 
 #: Tables that the stage before works with.
@@ -25,6 +26,7 @@ def stage(f):
     def begin(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         while _LEFT:
             dropped(_LEFT.pop())
+        release(spark)
         with recorded() as held:
             out = f(spark, docs, sf_dir)
         _LEFT.extend(held)
