@@ -87,7 +87,7 @@ def paired_blocks(members: DataFrame, key: str, weight: str, row: str, cap: int
 
 
 def give_back() -> None:
-    """Return the driver's free Python memory to the system, where its C library can (glibc)."""
+    """Return this Python process's free memory to the system, where its C library can (glibc)."""
     gc.collect()
     try:
         ctypes.CDLL(None).malloc_trim(0)
@@ -95,6 +95,18 @@ def give_back() -> None:
         pass
 
 
+def tidied(f):
+    """A task's function of batches, after which an idle worker holds no memory of the task."""
+
+    def run(batches):
+        try:
+            yield from f(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def release(spark) -> None:
     """Collect the driver's garbage now, Python's first, so that Spark's cleaner deletes the shuffle files of jobs that are over."""
     give_back()

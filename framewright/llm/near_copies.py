@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
 from ..sources.tables import written
-from .common import paired_blocks, pieces, release, text_of
+from .common import paired_blocks, pieces, release, text_of, tidied
 from .simhash import SEED, compare_groups, majority, words_of
 
 SHINGLE = 5
@@ -116,8 +116,9 @@ def common_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                     held, rows = [], 0
         if held:
             yield out(held)
+        _WORDS.clear()
 
-    total = texts.mapInArrow(count, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
+    total = texts.mapInArrow(tidied(count), "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
     top = total.orderBy(F.desc("c"), "h").limit(COMMON).toArrow()  # at most COMMON rows
     h = top["h"].to_numpy().view(np.uint64)
     order = np.argsort(h)
@@ -146,8 +147,9 @@ def marked(rows: DataFrame, text_col: str) -> DataFrame:
                 [batch.column(0), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(prints, pa.binary())],
                 names=["row", "digest", "n", "keys", "fp"],
             )
+        _WORDS.clear()
 
-    return rows.select("__row", text_of(text_col).alias("text")).mapInArrow(compute, "row long, digest binary, n long, keys array<long>, fp binary")
+    return rows.select("__row", text_of(text_col).alias("text")).mapInArrow(tidied(compute), "row long, digest binary, n long, keys array<long>, fp binary")
 
 
 def candidates(reps: DataFrame) -> DataFrame:
@@ -165,7 +167,7 @@ def candidates(reps: DataFrame) -> DataFrame:
         keyed.select("key", "i", "j", "side", F.col("row").alias("node"), "fp")
         .repartition("key", "i", "j")
         .sortWithinPartitions("key", "i", "j", "side", "node")
-        .mapInArrow(compare_groups(3, RADIUS), "a long, b long")
+        .mapInArrow(tidied(compare_groups(3, RADIUS)), "a long, b long")
     )
     return connected_components(found)
 
@@ -205,6 +207,7 @@ def _check(batches):
         found = links_of([shingle_set(x.as_py()) for x in part.column("text")], sides)
         if found:
             yield pa.RecordBatch.from_arrays([pa.array([ids[x[k]] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+    _WORDS.clear()
 
 
 def components(rows: DataFrame, text_col: str = "text") -> DataFrame:
@@ -222,7 +225,7 @@ def components(rows: DataFrame, text_col: str = "text") -> DataFrame:
         .select("component", "i", "j", "side", "row", "text")
         .repartition("component", "i", "j")
         .sortWithinPartitions("component", "i", "j", "row")
-        .mapInArrow(_check, "a long, b long")
+        .mapInArrow(tidied(_check), "a long, b long")
     )
     alike = connected_components(links)
     final = reps.join(alike, reps.rep == alike.node, "left").select("digest", F.coalesce("component", "rep").alias("component"))

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import give_back, text_of, tidied
 
 KINDS = ("email", "ip", "card", "phone")
 #: A training example is as long as a window.
@@ -448,7 +449,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                 names=["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans"],
             )
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(compute, SCHEMA)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(tidied(compute), SCHEMA)
 
 
 def redacted(text: str, spans) -> str:
@@ -468,14 +469,16 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     model = trained()
 
     @F.arrow_udf("string")
-    def clean(texts: pa.Array) -> pa.Array:
-        out = []
-        for at in range(0, len(texts), 256):  # few texts at a time become Python's
-            part = texts[at : at + 256].to_pylist()
-            own = [x or "" for x in part]
-            got = [redacted(t, b + a) for t, (b, a) in zip(own, spans_of(own, model))]
-            out.append(pa.array([None if x is None else g for x, g in zip(part, got)], pa.string()))
-        return pa.concat_arrays(out) if out else pa.array([], pa.string())
+    def clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            out = []
+            for at in range(0, len(texts), 256):  # few texts at a time become Python's
+                part = texts[at : at + 256].to_pylist()
+                own = [x or "" for x in part]
+                got = [redacted(t, b + a) for t, (b, a) in zip(own, spans_of(own, model))]
+                out.append(pa.array([None if x is None else g for x, g in zip(part, got)], pa.string()))
+            yield pa.concat_arrays(out) if out else pa.array([], pa.string())
+        give_back()
 
     out = docs.withColumn(text_col, clean(F.col(text_col)))
     if "n_chars" in docs.columns:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import dropped, written
-from .common import give_back, text_of
+from .common import give_back, text_of, tidied
 
 BUCKETS = 1 << 16
 DIM = 8
@@ -202,7 +202,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
         .groupBy("__id", "__y")
         .agg(F.min(F.struct(F.md5("__text"), F.col("__text").alias("text"))).alias("least"))
         .select("__y", "least.text")
-        .mapInArrow(bags, "y int, digest binary, at binary, weight binary"),
+        .mapInArrow(tidied(bags), "y int, digest binary, at binary, weight binary"),
         "bags",
     )
     # sum(per_class) rows at most, four bytes for each of a row's buckets; a file's part at a time passes the JVM
@@ -229,7 +229,7 @@ def score(docs: DataFrame, model, id_col="doc_id", text_col="text") -> DataFrame
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out)], names=["doc_id", "score"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(
-        compute, "doc_id long, score double"
+        tidied(compute), "doc_id long, score double"
     )
 
 
@@ -245,6 +245,8 @@ def reject(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
         words = WordScores(u)
         for texts in batches:
             yield pa.array(probability(log_odds(texts, words, bias)))
+        words.clear()
+        give_back()
 
     return docs.where(scored(F.col(text_col)) < threshold)
 
